@@ -44,6 +44,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         rows = rows.select("id", "n", full.alias("digest"), *carry)
     rows = stored(rows)
     groups = rows.where("digest is not null").groupBy("n", "digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+    groups = stored(groups)  # so that a skewed join can split a group that is large
     out = rows.join(groups, ["n", "digest"], "left")
     single = F.col("group_size").isNull()
     return out.select(

@@ -156,8 +156,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = sketch.join(heads.select(F.col("class").alias("id"), F.col("sig").alias("head")), "id").where("sig = head")
     member = keyed.select(F.col("id").alias("class"), F.explode("keys").alias("bucket")).distinct()  # a key holds its band's number
     size = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(member.join(size, "bucket"))
-    weight = shared.groupBy("class").agg(F.sum(F.col("size") - 1).alias("weight"))
+    shared = stored(member.join(stored(size), "bucket"))  # sides that are stored can be split where a bucket is large
+    weight = stored(shared.groupBy("class").agg(F.sum(F.col("size") - 1).alias("weight")))
     shared = stored(shared.join(weight, "class").select("bucket", "class", "size", F.struct("weight", (-F.col("class")).alias("order")).alias("rank")))
 
     seen, links, groups, used, turn = None, None, None, None, 0
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         groups = connected_components(links, stored)
         turn += 1
     component = groups.select(F.col("node").alias("class"), "component")
-    by_sig = heads.join(component, "class", "left").select("sig", F.coalesce("component", "class").alias("component"))
+    by_sig = stored(heads.join(component, "class", "left").select("sig", F.coalesce("component", "class").alias("component")))
     return (
         sketch.select("id", "n", "sig").join(by_sig, "sig", "left")
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

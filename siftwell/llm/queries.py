@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from siftwell.llm import exact_dedup, near_dedup, packing
+from siftwell.llm import exact_dedup, language, near_dedup, packing, secrets, warc
 
 QUERIES = {
+    "op2_secret_scan": secrets.op2_secret_scan,
+    "op3_language_id": language.op3_language_id,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op7_packing": packing.op7_packing,
+    "op9_warc": warc.op9_warc,
     "op10_minhash_near_dedup": near_dedup.op10_minhash_near_dedup,
 }
 
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_warc": warc.ORACLE}
