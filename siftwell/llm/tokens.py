@@ -1,16 +1,24 @@
-"""Token ids of a public tokenizer, cached by chunk between white space."""
+"""Token ids of a public tokenizer, put together from cached ids of words."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import islice
 
-#: Characters at which Python's split() and the tokenizer's white space may differ, and the mark of special tokens.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -​    　﻿]|<\\|")
-#: Chunks that a worker remembers; its cache starts anew beyond.
-CACHE_CHUNKS = 300_000
+import numpy as np
+
+#: Characters whose white space, case or composition may be taken differently, and the mark of special tokens.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0İΣ ᠎ -​    　﻿]|<\\|")
+#: A word between other signs. An apostrophe may begin an ending of its own, so chunks with one are left to the tokenizer.
+_AROUND = re.compile(r"([!-&(-/:-@\[-`{-~]*)(\w*)([!-&(-/:-@\[-`{-~]*)")
+#: Chunks that a worker remembers; beyond, it forgets the later half.
+CACHE_CHUNKS = 600_000
 #: Longer chunks are encoded but not remembered.
 CACHE_CHARS = 64
+#: Words that the tokenizer gets at once.
+BATCH_WORDS = 4000
 
 _made: dict[str, ChunkEncoder] = {}
 
@@ -23,10 +31,12 @@ def tokenizer_path(name: str) -> str:
 
 
 class ChunkEncoder:
-    """Encodes texts to packed little-endian 32-bit ids, exactly as the tokenizer does.
+    """Encodes texts to packed little-endian 32-bit ids, exactly as the tokenizer of the file does.
 
-    This kind of tokenizer never joins characters across white space, so the ids of a text are those
-    of its chunks. Texts with unusual white space or marks of special tokens go to the tokenizer whole.
+    For a tokenizer that lower-cases and whose pieces never reach across white space, the ids of a text
+    are those of its chunks, and those of a chunk the ids of the signs before its word, the word, and the
+    signs after it. Other tokenizers, and texts with unusual characters or marks of special tokens, go
+    to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -34,33 +44,77 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        suffix = said["model"].get("end_of_word_suffix")
+        kinds = [x.get("type") for x in (said.get("normalizer") or {}).get("normalizers", [])]
+        self.by_word = suffix == "</w>" and kinds == ["NFC", "Replace", "Lowercase"]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
         self.cache: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters; each word's last id, and no other, ends a word."""
+        out: list[bytes] = []
+        for s in range(0, len(words), BATCH_WORDS):
+            part = words[s : s + BATCH_WORDS]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            at = np.flatnonzero(self.ends[ids]) + 1
+            if len(at) != len(part):
+                out += self._whole(part)
+                continue
+            packed, cuts = ids.tobytes(), (4 * at).tolist()
+            out += [packed[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return out
 
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in encoded]
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the cache lacks."""
+        known, split, words, rest = {}, {}, set(), []
+        for c in chunks:
+            m = _AROUND.fullmatch(c)
+            if m and (not m[2] or m[2].isalpha()):
+                split[c] = m.groups()
+                words.update(w for w in m.groups() if w and w not in self.cache)
+            else:
+                rest.append(c)
+        letters = [w for w in words if w.isalpha()]
+        signs = [w for w in words if not w.isalpha()]
+        known.update(zip(letters, self._words(letters), strict=True))
+        known.update(zip(signs, self._whole(signs), strict=True) if signs else ())
+        known.update(zip(rest, self._whole(rest), strict=True) if rest else ())
+        cache = self.cache
+        for c, parts in split.items():
+            if c not in known:
+                known[c] = b"".join([known[w] if w in known else cache[w] for w in parts if w])
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache, out, odd, chunks = self.cache, [b""] * len(texts), [], {}
+        if not self.by_word:
+            return self._whole(texts)
+        cache = self.cache
         if len(cache) > CACHE_CHUNKS:
-            cache.clear()
+            for c in list(islice(cache, CACHE_CHUNKS // 2, None)):
+                del cache[c]
+        out, lacking, missing = [b""] * len(texts), [], set()
         for i, text in enumerate(texts):
             if _ODD.search(text):
-                odd.append(i)
+                out[i] = self._whole([text])[0]
+                continue
+            chunks = text.lower().split()
+            ids = list(map(cache.get, chunks))
+            if None in ids:
+                lacking.append((i, chunks, ids))
+                missing.update(c for c, x in zip(chunks, ids, strict=True) if x is None)
             else:
-                chunks[i] = text.split()
-        new = list({c for x in chunks.values() for c in x if c not in cache})
-        fresh = dict(zip(new, self._ids(new), strict=True)) if new else {}
-        cache.update((c, ids) for c, ids in fresh.items() if len(c) <= CACHE_CHARS)
-        for i, x in chunks.items():
-            try:
-                out[i] = b"".join(map(cache.__getitem__, x))
-            except KeyError:
-                out[i] = b"".join([cache[c] if c in cache else fresh[c] for c in x])
-        for i in odd:
-            out[i] = self._ids([texts[i]])[0]
+                out[i] = b"".join(ids)
+        new = self._learn(missing)
+        for i, chunks, ids in lacking:
+            out[i] = b"".join([new[c] if x is None else x for c, x in zip(chunks, ids, strict=True)])
+        cache.update((c, x) for c, x in new.items() if len(c) <= CACHE_CHARS)
         return out
 
 
