@@ -33,7 +33,7 @@ class SumOfSquares:
         """The window's pieces if it is full now."""
         last = self.capacity - size
         before, after = self.levels[: last + 1], self.levels[size : size + last + 1]
-        cost = 2 * (after - before)
+        cost = 2 * (after - before) + 2
         cost[0] = 2 * after[0] + 1
         cost[last] = 1 - 2 * before[last]  # full windows leave the array
         cost[1:][before[1:] == 0] = np.iinfo(np.int64).max
