@@ -14,6 +14,8 @@ BINS, BANDS, ROWS = 256, 42, 6
 WIDTH, NUM, DEN = 4, 80, 100
 #: Members that one task slice compares with a centre.
 CHUNK = 256
+#: Up to so many rows of ids (some 60 bytes each) are broadcast to the scan of texts; beyond, texts are shuffled.
+BROADCAST_IDS = 400_000
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -119,6 +121,11 @@ def _verify(batches):
         yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
+def _if_few(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """ids of a stored table, marked for a broadcast if they are few; the join gives the same rows either way."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the candidate pairs (a: centre, b: member, bigint), those linked by their full sets.
 
@@ -130,7 +137,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     place = stored(place)
     members = place.select(F.col("b").alias("id"), "a", "part", F.lit(True).alias("member"))
     centres = place.select(F.col("a").alias("id"), "a", "part", F.lit(False).alias("member")).distinct()
-    wanted = members.union(centres).join(texts, "id").select("a", "part", "member", "id", "text")
+    wanted = texts.join(_if_few(stored(members.union(centres))), "id").select("a", "part", "member", "id", "text")
     n = max(1, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return wanted.repartition(n, "a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(_verify, "a long, b long")
 
@@ -160,6 +167,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weight = stored(shared.groupBy("class").agg(F.sum(F.col("size") - 1).alias("weight")))
     shared = stored(shared.join(weight, "class").select("bucket", "class", "size", F.struct("weight", (-F.col("class")).alias("order")).alias("rank")))
 
+    texts = stored(texts.join(_if_few(stored(shared.select(F.col("class").alias("id")).distinct())), "id", "left_semi"))  # others meet nothing
+
     seen, links, groups, used, turn = None, None, None, None, 0
     while True:
         if turn == 0:
