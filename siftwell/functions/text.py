@@ -82,12 +82,12 @@ def tokens(slotted: Column, slots: bool = True) -> Column:
     """The distinct tokens of a text: slots, words, and CJK characters one by one."""
     low = F.lower(slotted)
     words = F.split(low, " ")
-    plain = F.regexp_replace(F.regexp_replace(low, r"[^\p{L}\p{M}\p{N}_\p{Pc} ]+", " "), f"({CJK})", " $1 ")
+    plain = F.regexp_replace(F.regexp_replace(low, r"[^\p{L}\p{N}_ ]+", " "), f"({CJK})", " $1 ")
     if not slots:
         return F.array_remove(F.array_distinct(F.split(plain, " +")), "")
     marked = F.filter(words, lambda w: w.isin(*SLOTS))
     rest = F.filter(words, lambda w: ~w.isin(*SLOTS))
-    rest = F.regexp_replace(F.regexp_replace(F.array_join(rest, " "), r"[^\p{L}\p{M}\p{N}_\p{Pc} ]+", " "), f"({CJK})", " $1 ")
+    rest = F.regexp_replace(F.regexp_replace(F.array_join(rest, " "), r"[^\p{L}\p{N}_ ]+", " "), f"({CJK})", " $1 ")
     return F.array_remove(F.array_distinct(F.concat(marked, F.split(rest, " +"))), "")
 
 
@@ -170,4 +170,5 @@ def epoch_millis(text: Column, zone: str = "Asia/Shanghai") -> Column:
     aware = basic.rlike(r"(?:Z|[+-]\d{2}:?\d{2})\z")
     stamp = F.try_to_timestamp(basic)
     local = F.to_utc_timestamp(F.try_to_timestamp(F.concat(basic, F.when(F.length(basic) <= 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z")))), zone)
-    return F.unix_millis(F.when(aware, stamp).otherwise(local))
+    dated = basic.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}(?:[ T]|\z)")
+    return F.unix_millis(F.when(dated, F.when(aware, stamp).otherwise(local)))

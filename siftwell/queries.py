@@ -185,7 +185,7 @@ def exact_text_duplicates(spark, sf_dir):
     return dedup.exact_text_groups(_documents(spark, sf_dir))
 
 
-_TOKENS = "list_filter(list_distinct(string_split(regexp_replace(lower(" + _collapse_sql("text") + r"), '[^\p{L}\p{M}\p{N}_\p{Pc} ]+', ' ', 'g'), ' ')), lambda x: x <> '')"
+_TOKENS = "list_filter(list_distinct(string_split(regexp_replace(lower(" + _collapse_sql("text") + r"), '[^\p{L}\p{N}_ ]+', ' ', 'g'), ' ')), lambda x: x <> '')"
 
 
 @query(f"WITH k AS (SELECT doc_id, list_sort({_TOKENS}) AS ts FROM documents), g AS (SELECT doc_id, min(doc_id) OVER w AS template, count(*) OVER w AS n FROM k WHERE len(ts) >= 4 WINDOW w AS (PARTITION BY ts)) SELECT doc_id AS row_ord, template FROM g WHERE n > 1")
