@@ -135,7 +135,7 @@ class BenchmarkIndex:
     def _class(self, members: list[int], recall: float) -> LengthClass:
         least, size = len(self.items[members[0]]), len(self.items[members[-1]])
         need = min(len(self.items[i]) - 1 - 2 * self.allowed(len(self.items[i])) for i in members)
-        c = LengthClass(size, max(1, need), max(4, int(1.8 * least)))
+        c = LengthClass(size, max(1, need), least)  # a walk of so many steps stays inside every item, so equal passages give equal keys
         draw = np.random.default_rng(least * 1000 + size)
         text = np.concatenate([np.append(self.items[i], np.uint64(0)) for i in members])
         at = np.cumsum([0, *[len(self.items[i]) + 1 for i in members]])[:-1]
