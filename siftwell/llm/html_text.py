@@ -339,8 +339,7 @@ def made_page(draw: np.random.Generator) -> tuple[str, list[str]]:
             text = words(int(draw.integers(2, 12) if kind in ("h1", "h2", "li", "td") else draw.integers(1, 4) if draw.random() < 0.2 else draw.integers(3, 90)))
             truth.append(text)
             mark = draw.random()
-            body = f"<b>{text}" + ("</b>" if mark < 0.1 else "<br>") if mark < 0.2 else text.replace(" ", f' <a href="#">{"</a> "}', 1) if mark < 0.3 else text
-            body = body if "</a>" not in body else text.replace(" ", " <em></em>", 1)
+            body = f"<b>{text}" + ("</b>" if mark < 0.1 else "<br>") if mark < 0.2 else text.replace(" ", " <em></em>", 1) if mark < 0.3 else text
             end = "" if kind == "p" and draw.random() < 0.2 else f"</{kind}>"
             out.append({"li": f"<ul><li>{body}</li></ul>", "td": f"<table><tr><td>{body}</td></tr></table>"}.get(kind, f"<{kind}>{body}{end}"))
             if draw.random() < 0.05:
