@@ -82,8 +82,9 @@ def _candidates(batches):
     def done():
         exits = {}
         for row in reversed(found):
-            succ = row["succ"]
-            row["exit"] = exits[row["rel"]] = succ if succ is None or succ >= at else exits.get(succ)
+            succ = row.get("succ")
+            # the next split's first magic ends where this split's last chunk is counted to
+            row["exit"] = exits[row["rel"]] = succ if succ is None or succ >= at - len(MAGIC) else exits.get(succ)
         rows = [*found, {"file": key[0], "block": key[1], "kind": "split", "rel": at}]
         return pa.record_batch([pa.array([x.get(n) for x in rows], types.get(n, pa.string())) for n in names], names=names)
 
