@@ -176,3 +176,58 @@ def release_gate(results: DataFrame, residual_rate: Column, gold_passed: Column)
     rate = F.col("false_accepts") / F.greatest("sampled_hard", F.lit(1))
     passed = (F.col("sampled_hard") > 0) & (rate <= FALSE_ACCEPT) & (F.col("judge_errors") == 0) & (residual_rate <= RESIDUAL) & gold_passed
     return out.select("*", rate.alias("false_accept_rate"), passed.alias("passed"))
+
+
+def overview(results: DataFrame, dataset: str, date: str, flagged: int = 100) -> dict:
+    """Counts over results (row_ord, id, category, status, rules: array of rule and ok), and the first rows that did not pass.
+
+    Only counts by status, rule and category and at most `flagged` rows reach the driver.
+    """
+    each = results.select(F.explode("rules").alias("r")).select("r.*")
+    hits = each.groupBy("rule").agg(F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed")).orderBy("rule")
+    failed = F.array_join(F.transform(F.filter("rules", lambda r: ~r["ok"]), lambda r: r["rule"]), ", ")
+    shown = results.where("status <> 'pass'").orderBy("row_ord").limit(flagged).select("id", "status", failed.alias("failed_rules"))
+    counts = {s: 0 for s in ("pass", "fail", "needs_review")} | {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
+    return {
+        "dataset": dataset, "date": date, "total": sum(counts.values()), "status_counts": counts, "rule_hits": [r.asDict() for r in hits.collect()],
+        "categories": [r.asDict() for r in category_shares(results, "category").orderBy(F.desc("n"), "category").collect()], "flagged": [r.asDict() for r in shown.collect()],
+    }
+
+
+def record_detail(results: DataFrame, record_id: str) -> dict:
+    """The first result of an id; KeyError if there is none."""
+    found = results.where(F.col("id") == record_id).orderBy("row_ord").limit(1).collect()
+    if not found:
+        raise KeyError(record_id)
+    return found[0].asDict(recursive=True)
+
+
+def record_key(case_id: Column, trace_id: Column, line: Column) -> Column:
+    """What names a record: case and trace with its line, or the line alone where there is no trace."""
+    text = F.coalesce(line.cast("string"), F.lit("?"))
+    mark = F.when(line.isNotNull(), F.concat(F.lit("#"), line.cast("string"))).otherwise("")
+    return F.when(F.coalesce(trace_id, F.lit("")) != "", F.concat(F.coalesce(case_id, F.lit("")), F.lit("|"), trace_id, mark)).otherwise(F.concat(F.lit("line_"), text))
+
+
+def parse_taxonomy(lines: list[str]) -> list[tuple[str, str, str, str]]:
+    """(difficulty, category_id, path, name) of lines such as '01  complex-topic/01-x  Name' and '01-y  Name'; anything else is an error."""
+    out = []
+    for line in (x.strip() for x in lines):
+        if not line:
+            continue
+        parts = line.split(None, 2) if line.split(None, 1)[0].isdigit() else line.split(None, 1)
+        if len(parts) == 3 and parts[1].startswith(COMPLEX_PREFIX):
+            out.append(("hard", parts[0], parts[1], parts[2]))
+        elif len(parts) == 2 and parts[0][:2].isdigit() and parts[0][2:3] == "-":
+            out.append(("normal", parts[0][:2], parts[0], parts[1]))
+        else:
+            raise ValueError(f"no category: {line!r}")
+    keys = [x[:2] for x in out]
+    if len(set(keys)) != len(keys):
+        raise ValueError("a category id occurs twice")
+    return out
+
+
+def missing_and_extra(found: list[str], expected: list[str]) -> tuple[list[str], list[str]]:
+    """Ids that are expected but not found, and the other way round."""
+    return sorted(set(expected) - set(found)), sorted(set(found) - set(expected))
