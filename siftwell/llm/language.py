@@ -92,9 +92,10 @@ def _featurise(batches):
             ids, counts = [], []
             for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
                 total = np.bincount(np.concatenate([g[a:b] for g in found]), minlength=BUCKETS)
-                ids.append(np.flatnonzero(total).astype(np.int32))
-                counts.append(total[ids[-1]].astype(np.int32))
-            yield pa.record_batch([langs.slice(s, e - s), order.slice(s, e - s), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(letters, pa.int64())], names=["lang", "o", "ids", "counts", "letters"])
+                some = np.flatnonzero(total)
+                ids.append(some.astype("<i4").tobytes())  # packed: the driver holds a sample of these
+                counts.append(total[some].astype("<i4").tobytes())
+            yield pa.record_batch([langs.slice(s, e - s), order.slice(s, e - s), pa.array(ids, pa.binary()), pa.array(counts, pa.binary()), pa.array(letters, pa.int64())], names=["lang", "o", "ids", "counts", "letters"])
 
 
 @dataclass
@@ -195,12 +196,12 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, 1.5 * per_lang / counts[k]))])
     order = F.xxhash64(F.col("id").cast("string"))
     sample = usable.where(F.pmod(order, F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", order.alias("o"), "text")
-    rows = sample.mapInArrow(_featurise, "lang string, o long, ids array<int>, counts array<int>, letters long").where("letters > 0").collect()
+    rows = sample.mapInArrow(_featurise, "lang string, o long, ids binary, counts binary, letters long").where("letters > 0").collect()
     picked = [r for k in langs for r in sorted((r for r in rows if r["lang"] == k), key=lambda r: (r["o"] % 1048573, r["o"]))[:per_lang]]
     vectors = []
     for r in picked:
-        ids = np.array(r["ids"], dtype=np.int64)
-        vectors.append((ids, np.array(r["counts"]) * idf[ids] / r["letters"]))
+        ids = np.frombuffer(r["ids"], "<i4").astype(np.int64)
+        vectors.append((ids, np.frombuffer(r["counts"], "<i4") * idf[ids] / r["letters"]))
     if not vectors:
         return LanguageModel([], np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0)
     scale = 1 / np.mean([np.sqrt((x * x).sum()) for _, x in vectors])
