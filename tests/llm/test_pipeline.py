@@ -13,7 +13,8 @@ def test_each_stage_drops_what_it_should(spark, tmp_path):
     text = lambda n: " ".join(word() for _ in range(n))
     rows = [(i, text(80), "en") for i in range(40)]
     near = text(120).split()
-    rows += [(50, "copy of a text " + rows[0][1], "en"), (51, "COPY of a text " + rows[0][1], "en")]
+    same = text(80)  # near no other text, so only the exact stage has to do with it
+    rows += [(50, "copy " + same, "en"), (51, "COPY " + same, "en")]
     rows += [(60, " ".join(near), "en"), (61, " ".join([*near[:60], "zzz", *near[61:]]), "en")]
     leak = text(30)
     rows += [(70, text(40) + " " + leak + " " + text(40), "en"), (80, "12345 !!!", "en"), (81, None, "en")]
