@@ -142,6 +142,39 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return wanted.repartition(n, "a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(_verify, "a long, b long")
 
 
+def _shingle_rows(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        ids, texts = batch.column(0), as_bytes(batch.column(1))
+        for s, e in slices(texts):
+            sets = shingle_sets(texts[s:e])
+            yield pa.record_batch([ids.slice(s, e - s), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["class", "n", "shingles"])
+
+
+def _could_link(own: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (low, high) of the classes of own (class, component) in different components; no linked pair is left out.
+
+    Shingles are ordered by how many of these classes have them. Two sets of sizes n and m are linked
+    only if NUM / (NUM + DEN) of n + m shingles are in both, so the first one in both stands early
+    enough in each, and within the first n - NUM / DEN * n + 1. Rare shingles come first, so a passage that many
+    texts share is seldom compared by.
+    """
+    found = stored(texts.join(_if_few(own.select(F.col("class").alias("id"))), "id", "left_semi").mapInArrow(_shingle_rows, "class long, n long, shingles array<long>"))
+    rows = stored(found.select("class", "n", F.explode("shingles").alias("shingle")).distinct())  # rows with equal ids and texts
+    often = stored(rows.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"))
+    ranked = rows.join(often, "shingle").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("s"))
+    # shingles of one class alone come before all others; at is 0-based
+    first = ranked.withColumn("alone", F.col("n") - F.size("s")).withColumn("take", F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1 - F.col("alone")).where("take > 0")
+    first = first.select("class", "n", "alone", F.posexplode(F.slice("s", F.lit(1), F.col("take").cast("int"))).alias("k", "x")).select("class", "n", (F.col("alone") + F.col("k")).alias("at"), F.col("x.shingle").alias("shingle"))
+    first = stored(first.join(own, "class"))
+    mixed = first.groupBy("shingle").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("shingle")
+    first = stored(first.join(mixed, "shingle"))
+    a, b = (first.select("shingle", *[F.col(c).alias(f"{c}{k}") for c in ("class", "n", "at", "component")]) for k in (1, 2))
+    enough = f"class1 < class2 and component1 <> component2 and least(n1 - at1, n2 - at2) * {NUM + DEN} >= {NUM} * (n1 + n2)"
+    return a.join(b, "shingle").where(enough).select(F.col("class1").alias("low"), F.col("class2").alias("high")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of docs.
 
@@ -151,7 +184,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Jaccard similarity of 0.8 or more. The centre is the class that meets most others in all its
     buckets, which in a group of near copies is the text they stem from. In buckets that still hold
     several components the next such class is the centre, for the classes outside its component,
-    round after round until a round finds no further link (two rounds at least). No bucket is capped.
+    round after round until a round finds no further link (two rounds at least). Buckets that then still
+    hold several components among the classes that were no centre are finished by an exact search
+    (prefixes of the sets, rare shingles first) among these classes, so every linked pair that shares a
+    bucket ends in one component. No bucket is capped.
 
     A null or empty text, or one of white space only, is in a component of its own. Rows with the
     same id are one document; a row without an id gets neither component nor kept = true. Ties of
@@ -179,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             wide = shared.where("size > 2").join(in_group, "class", "left").withColumn("component", F.coalesce("component", "class"))
             mixed = wide.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("bucket")
             wide = stored(wide.join(mixed, "bucket").select("bucket", "class", "rank", "component"))
-            free = wide.join(used.withColumnRenamed("hub", "class"), ["bucket", "class"], "left_anti")
+            free = stored(wide.join(used.withColumnRenamed("hub", "class"), ["bucket", "class"], "left_anti"))
             hubs = stored(free.groupBy("bucket").agg(F.max_by(F.struct("class", "component"), "rank").alias("h")).select("bucket", F.col("h.class").alias("hub"), F.col("h.component").alias("own")))
             pairs = wide.join(hubs, "bucket").where("component <> own").select(F.col("hub").alias("a"), F.col("class").alias("b"))
             hubs = hubs.select("bucket", "hub")
@@ -190,12 +226,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(seen, ["low", "high"], "left_anti")
         pairs = stored(pairs)
         found = stored(confirmed(pairs.select("a", "b"), texts))
+        seen = pairs.select("low", "high") if seen is None else seen.union(pairs.select("low", "high"))
         if turn and found.isEmpty():
             break
-        seen = pairs.select("low", "high") if seen is None else seen.union(pairs.select("low", "high"))
         links = found if links is None else links.union(found)
         groups = connected_components(links, stored)
         turn += 1
+    # a centre has met all classes outside its component: where three or more were free before the last round, pairs can be left
+    mixed = free.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("n")).where("c1 <> c2 and n > 2").select("bucket")
+    own = stored(free.join(mixed, "bucket").select("class", "component").distinct())
+    if not own.isEmpty():
+        pairs = stored(_could_link(own, texts).join(seen, ["low", "high"], "left_anti").select(F.col("low").alias("a"), F.col("high").alias("b")))
+        found = stored(confirmed(pairs, texts))
+        groups = connected_components(links.union(found), stored)
     component = groups.select(F.col("node").alias("class"), "component")
     by_sig = stored(heads.join(component, "class", "left").select("sig", F.coalesce("component", "class").alias("component")))
     return (

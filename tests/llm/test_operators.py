@@ -89,6 +89,25 @@ def test_near_dedup_matches_brute_force(spark, monkeypatch, few):
     assert got == brute_components(rows)
 
 
+def test_near_dedup_finds_links_behind_heavier_texts_of_their_buckets(spark):
+    draw = random.Random(12)
+    base = words(draw, 400).split()
+
+    def edited(text, k):
+        chosen = set(draw.sample(range(400), k))
+        return [f"w{draw.randrange(1 << 40)}" if i in chosen else w for i, w in enumerate(text)]
+
+    texts = [" ".join(edited(base, 6)) for _ in range(120)]
+    for _ in range(10):
+        twin = edited(base, 2)
+        texts += [" ".join(edited(twin, 5)), " ".join(edited(twin, 5))]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    want = brute_components(rows)
+    assert all(want[i] == want[i + 1] for i in range(120, 140, 2))  # the twins are linked
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == want
+
+
 def test_near_dedup_of_nothing_and_of_repeated_rows(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
     got = near_dedup.near_duplicates(docs(spark, [(1, "a b c d e", "en"), (1, "a b c d e", "en"), (None, "a b c d e", "en")])).collect()
