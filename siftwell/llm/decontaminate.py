@@ -14,8 +14,10 @@ from siftwell.llm.common import as_bytes, hash_spans, mix, runs, slices, table
 EDITS = 0.2
 #: Items with fewer words are no evidence of a leak and are not searched.
 MIN_WORDS = 5
-#: Share of simulated passages with the most edits allowed that repetitions are added for; symbols in a key, keys for each walk, walks at most.
+#: Share of simulated passages with the most edits allowed, of each kind, that repetitions are added for; symbols in a key, keys for each walk, walks at most.
 RECALL, SYMBOLS, SAMPLES, MAX_WALKS = 0.98, 3, 8, 24
+#: Longer items are searched by parts of about equal length. Of the edits of a passage, one part at least has no more than its share.
+PART_WORDS = 1 << 30
 #: Items whose lengths differ by this factor at most share windows of one size.
 LENGTH_STEP = 1.15
 #: Item texts of about so many bytes are searched in one pass over the documents.
@@ -37,24 +39,27 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, first + np.arange(len(texts) + 1)
 
 
-def walk(words: np.ndarray, at: np.ndarray, number: int, steps: int, wanted: np.ndarray) -> np.ndarray:
+def walk(words: np.ndarray, at: np.ndarray, number: int, steps: int, wanted: np.ndarray, coins: dict[int, np.ndarray]) -> np.ndarray:
     """The CGK embedding of the strings that start at the given places: symbols at the wanted steps (places x wanted).
 
     At each step the walk puts out its symbol and moves on by a random bit of the step and the symbol,
-    the same for all strings, so strings that differ by few edits soon fall into step again. The 0 that
-    ends a text holds the walk.
+    the same for all strings, so strings that differ by few edits soon fall into step again. A walk sees
+    about half as many words as it has steps; those with odd numbers go backwards, from the places of last
+    words, so that both halves of a string are seen. The 0 that ends a text holds the walk (the one
+    before the first text is the last one). coins keeps the bits of one number's steps for these words.
     """
     out = np.zeros((len(at), len(wanted)), dtype=np.uint64)
     place = at.copy()
     column = {int(s): k for k, s in enumerate(wanted)}
-    coin = None
     for step in range(steps):
-        if step % 64 == 0:
+        if step // 64 not in coins:
             coin = mix(words + np.uint64((number * 4096 + step // 64 + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
             coin[words == 0] = 0
+            coins[step // 64] = coin
         if step in column:
             out[:, column[step]] = words[place]
-        place += ((coin[place] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        bit = ((coins[step // 64][place] >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+        place += -bit if number % 2 else bit
     return out
 
 
@@ -86,33 +91,40 @@ def edit_distance_inside(item: list[int], text: list[int], most: int) -> int | N
 
 @dataclass
 class LengthClass:
-    """Items of about one length: window size, the steps each repetition samples, and sorted keys with their items."""
+    """Parts of items of about one length: window size, the steps each repetition samples, and each walk's sorted keys with their parts."""
 
     size: int
     least: int  # pairs of neighbouring words that a window must share with the items
     steps: int
+    parts: list[tuple[int, int, int]]  # item, first word, words
     samples: list[np.ndarray] = field(default_factory=list)
-    keys: np.ndarray | None = None
-    owners: np.ndarray | None = None
+    keys: list[np.ndarray] = field(default_factory=list)
+    owners: list[np.ndarray] = field(default_factory=list)
+
+
+def _keys(words: np.ndarray, at: np.ndarray, c: LengthClass, number: int, coins: dict[int, np.ndarray]) -> np.ndarray:
+    """Keys (places x SAMPLES) of the strings that one walk starts in at the given places."""
+    wanted = c.samples[number]
+    steps = np.unique(wanted)
+    symbols = walk(words, at, number, int(steps[-1]) + 1, steps, coins)
+    where = np.searchsorted(steps, wanted)
+    out = np.empty((len(at), SAMPLES), dtype=np.uint64)
+    for r in range(SAMPLES):
+        key = np.full(len(at), number * SAMPLES + r + 1, dtype=np.uint64)
+        for k in where[r]:
+            key = mix(key * np.uint64(0xD6E8FEB86659FD93) + symbols[:, k])
+        out[:, r] = key
+    return out
 
 
-def _keys(words: np.ndarray, at: np.ndarray, c: LengthClass, walks: range) -> np.ndarray:
-    """Keys (places x repetitions) of the strings at the given places."""
-    out = []
-    for number in walks:
-        wanted = c.samples[number]
-        symbols = walk(words, at, number, int(wanted.max()) + 1, np.unique(wanted))
-        where = np.searchsorted(np.unique(wanted), wanted)
-        for r in range(SAMPLES):
-            key = np.full(len(at), number * SAMPLES + r + 1, dtype=np.uint64)
-            for k in where[r]:
-                key = mix(key * np.uint64(0xD6E8FEB86659FD93) + symbols[:, k])
-            out.append(key)
-    return np.array(out, dtype=np.uint64).T.reshape(len(at), -1)
+def _joined(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings with a 0 after each, and the places of their first and last words."""
+    ends = np.cumsum([len(x) + 1 for x in strings])
+    return np.concatenate([np.append(x, np.uint64(0)) for x in strings]), np.concatenate(([0], ends[:-1])), ends - 2
 
 
 class BenchmarkIndex:
-    """Items by id, and their LSH keys; as many walks as simulated passages need to reach the recall."""
+    """Items by id, and their LSH keys; as many walks as simulated passages of each kind need to reach the recall."""
 
     def __init__(self, items: list[tuple[int, bytes]], edits: float = EDITS, recall: float = RECALL, min_words: int = MIN_WORDS):
         words, at = words_of([x for _, x in items])
@@ -122,42 +134,56 @@ class BenchmarkIndex:
         self.present = np.zeros(1 << 20, dtype=bool)
         self.present[(self.pairs >> np.uint64(44)).astype(np.int64)] = True
         self.classes: list[LengthClass] = []
-        left = sorted(self.items, key=lambda i: (len(self.items[i]), i))
+        left = []
+        for i, x in self.items.items():
+            n = -(-len(x) // PART_WORDS)
+            cuts = [len(x) * k // n for k in range(n + 1)]
+            left += [(i, s, e - s) for s, e in zip(cuts, cuts[1:], strict=False)]
+        left.sort(key=lambda p: (p[2], p))
         while left:
-            least = len(self.items[left[0]])
-            members = [i for i in left if len(self.items[i]) <= least * LENGTH_STEP]
+            members = [p for p in left if p[2] <= left[0][2] * LENGTH_STEP]
             left = left[len(members) :]
             self.classes.append(self._class(members, recall))
 
     def allowed(self, n: int) -> int:
         return int(self.edits * n)
 
-    def _class(self, members: list[int], recall: float) -> LengthClass:
-        least, size = len(self.items[members[0]]), len(self.items[members[-1]])
-        need = min(len(self.items[i]) - 1 - 2 * self.allowed(len(self.items[i])) for i in members)
-        c = LengthClass(size, max(1, need), least)  # a walk of so many steps stays inside every item, so equal passages give equal keys
+    def _class(self, members: list[tuple[int, int, int]], recall: float) -> LengthClass:
+        least, size = members[0][2], members[-1][2]
+        need = min(n - 1 - 2 * self.allowed(n) for _, _, n in members)
+        c = LengthClass(size, max(1, need), least, members)  # a walk of so many steps stays inside every part, so equal passages give equal keys
         draw = np.random.default_rng(least * 1000 + size)
-        text = np.concatenate([np.append(self.items[i], np.uint64(0)) for i in members])
-        at = np.cumsum([0, *[len(self.items[i]) + 1 for i in members]])[:-1]
-        from_item = draw.integers(len(members), size=200)
-        trial = [self._edited(self.items[members[int(k)]], draw) for k in from_item]
-        edited = np.concatenate([np.append(t, np.uint64(0)) for t in trial])
-        edited_at = np.cumsum([0, *[len(t) + 1 for t in trial]])[:-1]
-        keys, hit = [], np.zeros(len(trial), dtype=bool)
+        strings = [self.items[i][s : s + n] for i, s, n in members]
+        text, *ends = _joined(strings)
+        kinds = 5
+        from_part = draw.integers(len(members), size=150 * kinds)
+        edited, *edited_ends = _joined([self._edited(strings[int(p)], draw, k % kinds) for k, p in enumerate(from_part)])
+        hit = np.zeros(len(from_part), dtype=bool)
         for number in range(MAX_WALKS):
             c.samples.append(draw.integers(c.steps, size=(SAMPLES, SYMBOLS)))
-            keys.append(_keys(text, at, c, range(number, number + 1)))
-            hit |= (_keys(edited, edited_at, c, range(number, number + 1)) == keys[-1][from_item]).any(axis=1)
-            if number >= 1 and hit.mean() >= recall:
+            keys = _keys(text, ends[number % 2], c, number, {})
+            hit |= (_keys(edited, edited_ends[number % 2], c, number, {}) == keys[from_part]).any(axis=1)
+            order = np.argsort(keys.ravel(), kind="stable")
+            c.keys.append(keys.ravel()[order])
+            c.owners.append(np.repeat(np.arange(len(members)), SAMPLES)[order])
+            if number >= 1 and hit.reshape(-1, kinds).mean(axis=0).min() >= recall:
                 break
-        flat = np.concatenate(keys, axis=1)
-        order = np.argsort(flat.ravel(), kind="stable")
-        c.keys, c.owners = flat.ravel()[order], np.repeat(np.array(members), flat.shape[1])[order]
         return c
 
-    def _edited(self, item: np.ndarray, draw: np.random.Generator) -> np.ndarray:
-        out = item.tolist()
-        for _ in range(self.allowed(len(item))):
+    def _edited(self, item: np.ndarray, draw: np.random.Generator, kind: int) -> np.ndarray:
+        """item with the most edits allowed: 0 spread over it, or every second word of its 1 first, 2 middle, 3 last part, 4 both ends replaced."""
+        out, n, most = item.tolist(), len(item), self.allowed(len(item))
+        if kind:
+            begin = {1: 0, 2: (n - 2 * most) // 2, 3: n - 2 * most}.get(kind, 0)
+            at = [begin + 2 * k for k in range(most)]
+            if kind == 4:
+                at = [k if j % 2 else n - 1 - k for j, k in enumerate(sorted([*range(0, 2 * most, 2), *range(0, 2 * most, 2)])[:most])]
+            if kind == 3:
+                at = [k + 1 for k in at]
+            for k in at:
+                out[k] = int(draw.integers(1, 1 << 62)) | 1
+            return np.array(out, dtype=np.uint64)
+        for _ in range(most):
             k, what = int(draw.integers(len(out))), draw.integers(3)
             new = int(draw.integers(1, 1 << 62)) | 1
             if what == 0:
@@ -182,38 +208,47 @@ class BenchmarkIndex:
         known[hits] = np.isin(pairs[hits], self.pairs)
         total = np.zeros(len(words) + 1, dtype=np.int32)
         np.cumsum(known, out=total[1:])
+        ends = np.arange(len(words))
+        places = []
         for c in self.classes:
-            inside = total[np.minimum(np.arange(c.size - 1, c.size - 1 + len(words)), len(words))] - total[:-1]
-            places = np.flatnonzero(inside >= c.least)
-            for s in range(0, len(places), 1 << 16):
-                at = places[s : s + (1 << 16)]
-                self._search(c, words, first, at, out)
+            starts = total[np.minimum(ends + c.size - 1, len(words))] - total[:-1] >= c.least
+            lasts = total[:-1] - total[np.maximum(ends - c.size + 1, 0)] >= c.least
+            places.append((np.flatnonzero(starts & (words != 0)), np.flatnonzero(lasts & (words != 0))))
+        tried: set = set()
+        for number in range(max((len(c.samples) for c in self.classes), default=0)):
+            coins: dict[int, np.ndarray] = {}
+            for c, at in zip(self.classes, places, strict=True):
+                if number < len(c.samples):
+                    at = at[number % 2]
+                    for s in range(0, len(at), 1 << 16):
+                        self._search(c, number, words, first, at[s : s + (1 << 16)], coins, tried, out)
         return out
 
-    def _search(self, c: LengthClass, words, first, at, out) -> None:
-        tried = set()
-        for number in range(len(c.samples)):
-            keys = _keys(words, at, c, range(number, number + 1))
-            low = np.searchsorted(c.keys, keys)
-            rows, cols = np.nonzero(c.keys[np.minimum(low, len(c.keys) - 1)] == keys)
-            for r, k in zip(rows.tolist(), cols.tolist(), strict=True):
-                j, place = int(low[r, k]), int(at[r])
-                while j < len(c.keys) and c.keys[j] == keys[r, k]:
-                    item = int(c.owners[j])
-                    j += 1
-                    if (place, item) in tried:
-                        continue
-                    tried.add((place, item))
-                    doc = int(np.searchsorted(first, place, side="right")) - 1
-                    known = out[doc].get(item)
-                    if known == 0:
-                        continue
-                    goal = self.items[item]
-                    slack = self.allowed(len(goal))
-                    part = words[max(int(first[doc]), place - slack) : min(int(first[doc + 1]) - 1, place + len(goal) + 2 * slack)]
-                    edits = edit_distance_inside(goal.tolist(), part.tolist(), slack)
-                    if edits is not None and (known is None or edits < known):
-                        out[doc][item] = edits
+    def _search(self, c: LengthClass, number: int, words, first, at, coins, tried, out) -> None:
+        keys = _keys(words, at, c, number, coins)
+        known_keys, owners, back = c.keys[number], c.owners[number], number % 2
+        low = np.searchsorted(known_keys, keys)
+        rows, cols = np.nonzero(known_keys[np.minimum(low, len(known_keys) - 1)] == keys)
+        for r, k in zip(rows.tolist(), cols.tolist(), strict=True):
+            j, place = int(low[r, k]), int(at[r])
+            while j < len(known_keys) and known_keys[j] == keys[r, k]:
+                item, offset, length = c.parts[int(owners[j])]
+                j += 1
+                start = place - offset - (length - 1 if back else 0)
+                doc = int(np.searchsorted(first, place, side="right")) - 1
+                if (doc, start, item) in tried:
+                    continue
+                tried.add((doc, start, item))
+                known = out[doc].get(item)
+                if known == 0:
+                    continue
+                goal = self.items[item]
+                slack = self.allowed(len(goal))
+                # the start and the length of what stands before it may each be off by as many words as edits
+                part = words[max(int(first[doc]), start - 2 * slack) : max(0, min(int(first[doc + 1]) - 1, start + len(goal) + 2 * slack))]
+                edits = edit_distance_inside(goal.tolist(), part.tolist(), slack)
+                if edits is not None and (known is None or edits < known):
+                    out[doc][item] = edits
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, edits: float = EDITS) -> DataFrame:
@@ -224,7 +259,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     thing sent to the tasks, so what they hold does not grow with either table. Every window of every
     whole text is embedded unless too few of its pairs of neighbouring words occur in any item. A match found by LSH is
     verified exactly; one with the most edits allowed is missed with probability 1 - RECALL at most,
-    as measured on simulated passages when the index is built, and exact copies are never missed.
+    as measured on simulated passages, with edits spread or bunched in any part, when the index is built,
+    and exact copies are never missed.
 
     Null and empty texts match nothing, as do items under MIN_WORDS words. Equal items are reported
     each. Rows with equal ids are reported each. Other columns are ignored. Ids are integers.

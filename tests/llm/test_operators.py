@@ -416,3 +416,23 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark):
         assert all(got[k] >= want[k] for k in got)
         assert all(k in got for k, n in want.items() if n == 0)
     assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
+
+
+def share_found(n, region, seed, passages=60):
+    """Of leaked passages with every second word of one region (a share of n words from a place) replaced, the share that is found."""
+    draw = random.Random(seed)
+    items = [(i, words(draw, n).encode()) for i in range(passages)]
+    texts = []
+    for _, text in items:
+        passage = text.decode().split()
+        for k in range(int(region * n), int(region * n) + 2 * int(0.2 * n) - 1, 2):
+            passage[k] = f"new{draw.randrange(1 << 40)}"
+        texts.append(" ".join([words(draw, 50), *passage, words(draw, 50)]).encode())
+    found = decontaminate.BenchmarkIndex(items).matches(texts)
+    return sum(i in found[i] for i in range(passages)) / passages
+
+
+@pytest.mark.parametrize("region", [0.0, 0.3, 0.6])
+def test_leaks_with_edits_bunched_in_one_part_are_found(region):
+    for n in (25, 40, 59):
+        assert share_found(n, region, n) >= 0.97
