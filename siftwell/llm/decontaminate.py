@@ -14,10 +14,10 @@ from siftwell.llm.common import as_bytes, hash_spans, mix, runs, slices, table
 EDITS = 0.2
 #: Items with fewer words are no evidence of a leak and are not searched.
 MIN_WORDS = 5
-#: Share of simulated passages with the most edits allowed, of each kind, that repetitions are added for; symbols in a key, keys for each walk, walks at most.
-RECALL, SYMBOLS, SAMPLES, MAX_WALKS = 0.98, 3, 8, 24
+#: Share of simulated passages with the most edits allowed, of each kind, that repetitions are added for; symbols in a key, keys for each walk, walks beyond which building an index fails.
+RECALL, SYMBOLS, SAMPLES, MAX_WALKS = 0.98, 3, 8, 400
 #: Longer items are searched by parts of about equal length. Of the edits of a passage, one part at least has no more than its share.
-PART_WORDS = 1 << 30
+PART_WORDS = 64
 #: Items whose lengths differ by this factor at most share windows of one size.
 LENGTH_STEP = 1.15
 #: Item texts of about so many bytes are searched in one pass over the documents.
@@ -167,8 +167,8 @@ class BenchmarkIndex:
             c.keys.append(keys.ravel()[order])
             c.owners.append(np.repeat(np.arange(len(members)), SAMPLES)[order])
             if number >= 1 and hit.reshape(-1, kinds).mean(axis=0).min() >= recall:
-                break
-        return c
+                return c
+        raise ValueError(f"{MAX_WALKS} walks do not reach a recall of {recall} at {least} to {size} words")
 
     def _edited(self, item: np.ndarray, draw: np.random.Generator, kind: int) -> np.ndarray:
         """item with the most edits allowed: 0 spread over it, or every second word of its 1 first, 2 middle, 3 last part, 4 both ends replaced."""
@@ -260,7 +260,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     whole text is embedded unless too few of its pairs of neighbouring words occur in any item. A match found by LSH is
     verified exactly; one with the most edits allowed is missed with probability 1 - RECALL at most,
     as measured on simulated passages, with edits spread or bunched in any part, when the index is built,
-    and exact copies are never missed.
+    and exact copies are never missed. Items over PART_WORDS words are found by their parts.
 
     Null and empty texts match nothing, as do items under MIN_WORDS words. Equal items are reported
     each. Rows with equal ids are reported each. Other columns are ignored. Ids are integers.

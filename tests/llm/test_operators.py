@@ -436,3 +436,8 @@ def share_found(n, region, seed, passages=60):
 def test_leaks_with_edits_bunched_in_one_part_are_found(region):
     for n in (25, 40, 59):
         assert share_found(n, region, n) >= 0.97
+
+
+@pytest.mark.parametrize("n", [500, 1000])
+def test_leaks_of_long_items_are_found(n):
+    assert min(share_found(n, region, n, 30) for region in (0.0, 0.3, 0.6)) >= 0.97
