@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op6_token_totals": token_counts.op6_token_totals,
     "op7_packing": packing.op7_packing,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_warc": warc.op9_warc,

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import scratch_dir, table
+from siftwell.llm import tokens
+from siftwell.llm.common import scratch_dir, slices, stored, table
+from siftwell.llm.packing import TOKENIZER
 
 # The versions of the counting tokenizers that need no vocabulary.
 COUNTERS: dict[str, Callable[[Column], Column]] = {
@@ -33,7 +35,8 @@ def counted(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
 
     def lengths(batches):
         for texts in batches:
-            yield pd.Series([len(x) // 4 for x in encoder(tokenizer).encode(list(texts))], dtype="int64")
+            texts = list(texts)
+            yield pd.Series([len(x) // 4 for s, e in slices(texts) for x in encoder(tokenizer).encode(texts[s:e])], dtype="int64")
 
     count = F.pandas_udf(lengths, "long", F.PandasUDFType.SCALAR_ITER)
     return docs.select(*head, F.lit(tokenizer.rsplit("/", 1)[-1]).alias("tokenizer"), count(text).alias("tokens"))
@@ -120,6 +123,28 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op6_token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of all documents by source and language, for each of COUNTERS and the vocabulary of TOKENIZER.
+
+    Every document arrives under every version. Batches are then taken back and sent again, counted anew,
+    and sent twice, so the totals at the end are those of the whole table.
+    """
+    docs = table(spark, sf_dir, "documents")
+    rollup = Rollup(spark, scratch_dir(spark))
+    names = (*COUNTERS, tokens.tokenizer_path(TOKENIZER))
+    counts = [stored(counted(docs, name)) for name in names]  # numbers alone; each text is counted once by each version
+    for name, count in zip(names, counts, strict=True):
+        rollup.apply(f"arrival-{name.rsplit('/', 1)[-1].replace('.', '-')}", inserts(count))
+    short = counts[0].where("tokens < 100")
+    for _ in range(2):
+        rollup.apply("removal", deletes(short))
+    rollup.apply("return", inserts(short))
+    both = [count.where("source rlike '[02468]$'") for count in counts[:2]]
+    rollup.apply("revision", revisions(*both))
+    rollup.apply("restatement", revisions(*reversed(both)))
+    return rollup.totals()
+
+
 ORACLE = r"""
 WITH d AS (SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS old,
   len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]|[^ \t\n\x0B\f\rA-Za-z0-9]')) AS new FROM documents),

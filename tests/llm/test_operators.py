@@ -297,6 +297,28 @@ def test_rollup_can_count_by_a_vocabulary(spark):
     assert {r["id"]: r["tokens"] for r in got} == {1: len(tokens.encoder(path).tokenizer.encode("hello there", add_special_tokens=False).ids), 2: 0}
 
 
+def test_token_totals_cover_every_document_by_every_tokenizer(spark, tmp_path):
+    import re
+
+    from siftwell.llm.queries import QUERIES
+
+    draw = random.Random(13)
+    rows = [(i, draw.choice([None, "", words(draw, 5), words(draw, 150)]), draw.choice(["en", None]), f"s{i % 5}", 0) for i in range(60)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    vocabulary = tokens.encoder(tokens.tokenizer_path(packing.TOKENIZER))
+    count = {
+        "words-1": lambda t: len(t.split()), "pieces-1": lambda t: len(re.findall("[A-Za-z]+|[0-9]|[^ \\t\\n\\x0B\\f\\rA-Za-z0-9]", t)),
+        tokens.tokenizer_path(packing.TOKENIZER).rsplit("/", 1)[-1]: lambda t: len(vocabulary._whole([t])[0]) // 4,
+    }
+    want = {}
+    for _, t, lang, source, _ in rows:
+        for name, f in count.items():
+            n, total = want.get((source, lang, name), (0, 0))
+            want[source, lang, name] = n + 1, total + f(t or "")
+    got = QUERIES["op6_token_totals"](spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): (r["documents"], r["tokens"]) for r in got} == want and len(got) == len(want)
+
+
 def brute_licenses(text):
     import re
 
