@@ -15,6 +15,8 @@ END = "\r\n\r\n"
 MIN_REVISIT_BYTES = 1000
 #: Up to so many revisits (16 bytes each) are broadcast; beyond, the pages are shuffled by page_id.
 BROADCAST_REVISITS = 500_000
+#: Records that lie in several chunks meet these by stretches of so many bytes of a file.
+STRETCH = 1 << 20
 
 _FIELDS = {"warc-type": "record_type", "warc-record-id": "record_id", "warc-refers-to": "refers_to", "warc-target-uri": "url", "warc-payload-digest": "header_digest", "warc-payload-length": "header_bytes"}
 _NAMES = [*_FIELDS.values()]
@@ -33,7 +35,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     base = base.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": F.sha1(F.col("html").cast("binary"))})
     long = stored(base.where((F.col("bytes") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "digest", "bytes"))
-    first = long.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stored(long.groupBy("digest", "bytes").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n"))
     revisits = stored(long.join(first, ["digest", "bytes"]).where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct())
     few = revisits.count() <= broadcast_revisits
     rows = base.join(F.broadcast(revisits) if few else revisits, ["page_id", "digest"], "left")
@@ -148,7 +150,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     candidates' chains are followed inside a split at once, and by pointer jumping from split to split:
     of a file only the records reachable from its first byte stay, so a magic inside a payload begins
     none. Payloads that hold a magic lie in several chunks and are put together in a second scan, which
-    is made only where there are any. A record with a broken length ends its file's chain. An empty
+    is made only where there are any, and meet their records by stretches of the file. A record with a
+    broken length ends its file's chain. An empty
     file has no records. Archives are plain, not compressed; a record must fit into memory.
     """
     light = stored(_chunks(spark, path).mapInArrow(_candidates, _LIGHT))
@@ -180,7 +183,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         return out
     parts = _chunks(spark, path).mapInArrow(_pieces, "file string, block long, rel long, value binary").join(base, ["file", "block"])
     parts = parts.select("file", (F.col("rel") + F.col("base")).alias("at"), "value")
-    inside = parts.join(F.broadcast(wide) if wide.count() <= BROADCAST_REVISITS else wide, "file").where("at >= start and at < succ")
+    stretch = lambda c: F.floor(F.col(c) / STRETCH)
+    spread = stored(wide.withColumn("stretch", F.explode(F.sequence(stretch("start"), F.floor((F.col("succ") - 1) / STRETCH)))))
+    parts = parts.withColumn("stretch", stretch("at"))
+    inside = parts.join(F.broadcast(spread) if spread.count() <= BROADCAST_REVISITS else spread, ["file", "stretch"]).where("at >= start and at < succ")
     whole = inside.groupBy("file", "start", "succ", "head").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p"))
     glued = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, F.lit(MAGIC), x["value"]))
     body = F.substring(glued, F.col("head") + len(MAGIC) + 1, F.col("succ") - F.col("start") - F.col("head") - len(MAGIC) - len(END))
