@@ -5,6 +5,8 @@ from __future__ import annotations
 import html as html_lib
 import re
 import zlib
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -14,16 +16,18 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.common import hash_spans, runs, table
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>",
-    re.DOTALL | re.IGNORECASE,
-)
+_NAME = re.compile(r"/?[a-zA-Z][a-zA-Z0-9-]*")
+_STOP = re.compile("[>\"']")
 _NAMES = re.compile(r"""\b(?:class|id|role|hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]{2,}")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
 SKIP = frozenset("script style noscript template svg iframe textarea select title head".split())
+#: Elements whose content is no markup of the page: all up to their end tag is passed over.
+RAW = frozenset("script style noscript template svg iframe textarea select title".split())
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s>/])[^>]*>", re.IGNORECASE) for tag in RAW}
+#: Elements that are nested deeper lie flat at this depth.
+DEEPEST = 200
 #: Open tags that a new one of the same kind ends.
 CLOSES = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",)}
 BOX = frozenset("body html article main section div nav aside header footer table ul ol dl form blockquote".split())
@@ -36,12 +40,66 @@ class Block:
     linked: int  # characters inside links
 
 
+def markup(page: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, name, attributes) of a page's tags in order; names are lower-case and begin with / for end tags, and
+    are empty for comments, declarations and elements that are passed over whole.
+
+    Quoted attribute values may hold >. No position is looked at more than a few times, however the page is broken:
+    what is found missing once (an end tag, a quote, a >) is not searched for again.
+    """
+    at, size = 0, len(page)
+    missing: set[str] = set()  # raw elements without a further end tag
+    dead: set[int] = set()  # quotes from which on no > follows outside quotes
+
+    def tag_end(start: int) -> int:
+        """Where the tag ends that goes on at start; at the next > if its quotes never close; -1 without any."""
+        i, passed = start, []
+        while (m := _STOP.search(page, i)) and m.start() not in dead:
+            if m[0] == ">":
+                return m.end()
+            passed.append(m.start())
+            close = page.find(m[0], m.end())
+            if close < 0:
+                break
+            i = close + 1
+        dead.update(passed)
+        return page.find(">", start) + 1 or -1
+
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+            yield at, end, "", ""
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1
+            if not end:
+                return
+            yield at, end, "", ""
+        elif m := _NAME.match(page, at + 1):
+            end = tag_end(m.end())
+            if end < 0:
+                return
+            name = m[0].lower()
+            if name in RAW and name not in missing:
+                if closing := _RAW_END[name].search(page, end):
+                    end, name = closing.end(), ""
+                else:
+                    missing.add(name)
+            if name in missing and name not in ("script", "style"):
+                name = ""  # without an end tag only code is passed over
+            yield at, end, name, page[m.end() : end - 1] if name else ""
+        else:
+            end = at + 1
+        at = end
+
+
 def blocks(page: str) -> list[Block]:
     """A page's blocks: texts between tags that are not inline, with references decoded and white space made single."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    open_: Counter[str] = Counter()
     parts: list[str] = []
-    linked = skipped = links = 0
+    linked = skipped = 0
     at = 0
 
     def flush() -> None:
@@ -57,23 +115,22 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if end > at and not skipped:
             parts.append(page[at:end])
-            if links:
+            if open_["a"]:
                 linked += end - at
 
     def pop(k: int) -> None:
-        nonlocal skipped, links
+        nonlocal skipped
         for tag, _ in stack[k:]:
             skipped -= tag in SKIP
-            links -= tag == "a"
+            open_[tag] -= 1
         del stack[k:]
 
-    for m in _TAG.finditer(page):
-        text_to(m.start())
-        at = m.end()
-        name = m[3]
-        if name is None:
+    for start, end, name, attributes in markup(page):
+        text_to(start)
+        at = end
+        tag = name.lstrip("/")
+        if not tag:
             continue
-        tag = name.lower()
         if tag in VOID:
             if tag in INLINE:
                 parts.append(" ")
@@ -82,34 +139,31 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag not in INLINE:
             flush()
-        if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
+        if name != tag:
+            for k in range(len(stack) - 1, -1, -1) if open_[tag] else ():
                 if stack[k][0] == tag:
                     pop(k)
                     break
                 if tag in INLINE and stack[k][0] not in INLINE:
                     break
             continue
-        if tag == "body":  # ends an open head
-            for k, (t, _) in enumerate(stack):
-                if t == "head":
-                    pop(k)
-                    break
+        if tag == "body" and open_["head"]:  # ends an open head
+            pop(next(k for k, (t, _) in enumerate(stack) if t == "head"))
         if tag not in INLINE:
             ends = CLOSES.get(tag, ("p",))
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if any(open_[t] for t in ends) else ():
                 if stack[k][0] in ends:
                     pop(k)
                     break
                 if stack[k][0] in BOX:
                     break
         names = ()
-        if m[4] and "=" in m[4]:
-            names = tuple(f".{w}" for a in _NAMES.findall(m[4]) for w in _WORDS.findall("".join(a).lower()))
-        if not m[4].endswith("/"):
+        if "=" in attributes:
+            names = tuple(f".{w}" for a in _NAMES.findall(attributes) for w in _WORDS.findall("".join(a).lower()))
+        if not attributes.endswith("/") and len(stack) < DEEPEST:
             stack.append((tag, names))
             skipped += tag in SKIP
-            links += tag == "a"
+            open_[tag] += 1
     text_to(len(page))
     flush()
     return out
@@ -302,12 +356,12 @@ def made_page(draw: np.random.Generator) -> tuple[str, list[str]]:
     serial = iter(range(10**6))
 
     def words(n: int, chrome: float = 0.0) -> str:
-        shout = draw.random() < 0.05
+        shout, stop = draw.random() < 0.05, "." if draw.random() < 0.4 else ""
         out = [pick(_CHROME) if draw.random() < chrome else "".join(pick(syllables) for _ in range(draw.integers(1, 4))) for _ in range(n)]
         for k in range(7, n, int(draw.integers(6, 14))):
             out[k] += pick([",", ".", "."])
         text = " ".join(out).capitalize()
-        return text.upper() + "!!" if shout else text
+        return text.upper() + "!!" if shout else text + stop
 
     def box(kind: tuple[str, str], inner: str) -> str:
         tag, names = kind
@@ -336,7 +390,7 @@ def made_page(draw: np.random.Generator) -> tuple[str, list[str]]:
         out = []
         for k in range(draw.integers(1, 12)):
             kind = "h1" if k == 0 and draw.random() < 0.8 else pick(["p"] * 8 + ["h2", "li", "blockquote", "pre", "td"])
-            text = words(int(draw.integers(2, 12) if kind in ("h1", "h2", "li", "td") else draw.integers(1, 4) if draw.random() < 0.2 else draw.integers(3, 90)))
+            text = words(int(draw.integers(1, 4) if draw.random() < 0.25 else draw.integers(2, 12) if kind in ("h1", "h2", "li", "td") else draw.integers(3, 90)))
             truth.append(text)
             mark = draw.random()
             body = f"<b>{text}" + ("</b>" if mark < 0.1 else "<br>") if mark < 0.2 else text.replace(" ", " <em></em>", 1) if mark < 0.3 else text
@@ -347,9 +401,22 @@ def made_page(draw: np.random.Generator) -> tuple[str, list[str]]:
         return "".join(out)
 
     title = words(5)
+    plain = draw.random()
+    if plain < 0.12:  # nothing but an article, with as little around it as can be
+        if draw.random() < 0.3:
+            text = words(int(draw.integers(1, 60)))
+            truth.append(text)
+            inner = text
+        elif draw.random() < 0.5:
+            text = words(int(draw.choice([1, 1, 2, 4, 9, 18, 30, 80])))
+            truth.append(text)
+            inner = f"<p>{text}</p>"
+        else:
+            inner = content()
+        return pick([inner, f"<body>{inner}</body>", f"<html><body>{inner}</body></html>", f"<html><head><title>{title}</title></head><body><div>{inner}</div></body></html>"]), truth
     parts = [noise(pick(_NOISE_BOX)) for _ in range(draw.integers(0, 4))]
     inner = content()
-    wrapped = box(pick(_CONTENT_BOX), inner)
+    wrapped = inner if plain < 0.25 else box(pick(_CONTENT_BOX), inner)
     if draw.random() < 0.3:
         wrapped = box(("div", pick(["", "wrapper", "container", "page"])), wrapped)
     parts.append(wrapped)
