@@ -21,11 +21,11 @@ EXTRA = "crf"
 
 _KEY = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""")
 
-#: Rows of documents whose lines the model is trained between, at most.
-TRAIN_ROWS = 400
+#: Rows of documents whose lines the model is trained between, at most, and characters of a line that are taken.
+TRAIN_ROWS, LINE_CHARS = 400, 400
 #: Buckets for each hashed feature.
 SPACE = 1 << 12
-#: Least probability, summed over a span's tokens' mean, for a span that the model adds.
+#: A span of the best path is added if its tokens are part of a secret with this probability, in the mean.
 LEAST_PROBABILITY = 0.9
 
 Span = tuple[str, int, int]
@@ -41,6 +41,12 @@ def base_spans(text: str, hexes: bool = True) -> list[Span]:
     return ordered(out)
 
 
+def secret_values(text: str) -> list[tuple[int, int]]:
+    """Where the secrets themselves stand in the spans of the fixed patterns: of an assignment, the value."""
+    out = [m.span(2) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
+    return out + [(a, b) for k, a, b in base_spans(text) if k != "assign"]
+
+
 def ordered(spans: list[Span]) -> list[Span]:
     order = {k: i for i, k in enumerate((*KINDS, EXTRA))}
     return sorted(spans, key=lambda s: (s[1], order[s[0]], s[2]))
@@ -89,42 +95,38 @@ def tokens(texts: list[bytes]) -> Tokens:
     np.cumsum([len(x) + 1 for x in texts], out=at[1:])
     first = np.searchsorted(starts, at)
     n = len(starts)
+    if not n:
+        return Tokens(starts, ends, np.zeros((FEATURES, 0), dtype=np.int32), first)
+    cuts = np.column_stack([starts, ends]).ravel()  # a line feed follows the last token
+    inside = lambda mask: np.add.reduceat(mask.view(np.uint8), cuts, dtype=np.int64)[::2]
     kind = _CLASS[data]
-
-    def count(mask: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(mask) + 1, dtype=np.int32)
-        np.cumsum(mask, out=total[1:], dtype=np.int32)
-        return total
-
-    inside = lambda total: (total[ends] - total[starts]).astype(np.int64)
-    digits, uppers = count(_DIGIT[data]), count(_UPPER[data])
     turns = np.zeros(len(data), dtype=bool)
     turns[1:] = kind[1:] != kind[:-1]
-    turned = count(turns)
     length = ends - starts
-    n_digit, n_upper, n_sign, n_high = inside(digits), inside(uppers), inside(count(_SIGN[data])), inside(count(_HIGH[data]))
-    n_turn = np.maximum(turned[ends] - turned[np.minimum(starts + 1, ends)], 0).astype(np.int64)
+    n_digit, n_upper, n_sign, n_high = (inside(t[data]) for t in (_DIGIT, _UPPER, _SIGN, _HIGH))
+    n_turn = inside(turns) - turns[starts]
     mask = (n_digit > 0) * 1 + (n_upper > 0) * 2 + (n_sign > 0) * 4 + (n_high > 0) * 8 + (length > n_digit + n_upper + n_sign + n_high) * 16
     size = np.minimum(length // 4, 15)
     word = (hash_spans(_FOLD[data], starts, ends) >> np.uint64(40)).astype(np.int64) % SPACE
     word = np.where(length > 20, SPACE - 1, word)
-    before, after = np.full(n, SPACE - 2), np.full(n, SPACE - 2)
-    before[1:], after[:-1] = word[:-1], word[1:]
     left = np.zeros(n, dtype=np.uint64)  # up to four bytes before and two after
     for k in range(1, 5):
         ok = (starts >= k) & ~_TOKEN[data[starts - k]]
         left = left * np.uint64(257) + np.where(ok, data[starts - k], 0).astype(np.uint64)
-    right = np.where(ends < len(data), data[np.minimum(ends, len(data) - 1)], 10).astype(np.int64)
-    code, high = count(_CODE[data]), at[1:] - at[:-1]
-    share = lambda total: np.minimum((total[at[1:] - 1] - total[at[:-1]]) * 64 // np.maximum(high, 1), 7)
-    file = np.repeat(share(code) * 8 + share(digits), np.diff(first))
-    shape = mask * 16 + size
-    rows = [
-        shape, 512 + n_turn.clip(0, 15) * 16 + size, 1024 + _bucket(n_digit) * 64 + _bucket(n_upper) * 8 + _bucket(length),
-        SPACE + word, 2 * SPACE + before, 3 * SPACE + after, 4 * SPACE + (mix(left) >> np.uint64(40)).astype(np.int64) % SPACE,
-        1600 + right, 1900 + file, np.full(n, 2000),
-    ]
-    return Tokens(starts, ends, np.array(rows, dtype=np.int32).reshape(FEATURES, n), first)
+    spans = list(zip(at[:-1].tolist(), (at[1:] - 1).tolist(), strict=True))
+    share = lambda t: np.array([min(7, int(np.count_nonzero(t[data[a:b]])) * 64 // (b + 1 - a)) for a, b in spans])
+    rows = np.empty((FEATURES, n), dtype=np.int32)
+    rows[0] = mask * 16 + size
+    rows[1] = 512 + n_turn.clip(0, 15) * 16 + size
+    rows[2] = 1024 + _bucket(n_digit) * 64 + _bucket(n_upper) * 8 + _bucket(length)
+    rows[3] = SPACE + word
+    rows[4, 0], rows[4, 1:] = 3 * SPACE - 2, 2 * SPACE + word[:-1]
+    rows[5, -1], rows[5, :-1] = 4 * SPACE - 2, 3 * SPACE + word[1:]
+    rows[6] = 4 * SPACE + (mix(left) >> np.uint64(40)).astype(np.int64) % SPACE
+    rows[7] = 1600 + data[ends].astype(np.int32)
+    rows[8] = 1900 + np.repeat(share(_CODE) * 8 + share(_DIGIT), np.diff(first))
+    rows[9] = 2000
+    return Tokens(starts, ends, rows, first)
 
 
 ROWS = 5 * SPACE
@@ -152,6 +154,7 @@ class SecretModel:
     def spans(self, t: Tokens) -> list[tuple[int, int, int]]:
         """(first token, end, text) of the spans on the best path of each text.
 
+        Of these spans only those count that are secrets with LEAST_PROBABILITY, by the marginals of their tokens.
         A token whose outside score exceeds the others by more than all moves around it could win back
         is outside on every best path; only the runs between such tokens are decoded, which is exact.
         """
@@ -251,7 +254,10 @@ def _lines(draw: np.random.Generator, prose: list[str]) -> tuple[str, int, int]:
 
 
 def train(prose: list[str], size: int = 4000, epochs: int = 25, seed: int = 5) -> SecretModel:
-    """Fits the field by gradient ascent of its likelihood on lines with made-up secrets among the given prose."""
+    """Fits the field by gradient ascent of its likelihood on lines with made-up secrets among the given prose.
+
+    Secrets that the fixed patterns find in the prose are tagged as such, too.
+    """
     draw = np.random.default_rng(seed)
     prose = [p for p in prose if p.strip()] or ["the quick brown fox jumps over the lazy dog and runs away from it all"]
     made = [_lines(draw, prose) for _ in range(size)]
@@ -260,13 +266,15 @@ def train(prose: list[str], size: int = 4000, epochs: int = 25, seed: int = 5) -
     longest = int(np.diff(t.first).max())
     index = np.full((size, longest), -1)
     gold = np.zeros((size, longest), dtype=np.int64)
-    for i, (_, s, e) in enumerate(made):
+    for i, (line, s, e) in enumerate(made):
         a, b = int(t.first[i]), int(t.first[i + 1])
         index[i, : b - a] = range(a, b)
-        if s >= 0:
+        known = [(len(line[:x].encode()), len(line[:y].encode())) for x, y in secret_values(line)]
+        for s, e in sorted([*known, *([(s, e)] if s >= 0 else [])], reverse=True):
             inside = (t.starts[a:b] < offset[i] + e) & (t.ends[a:b] > offset[i] + s)
-            gold[i, : b - a][inside] = INSIDE
-            gold[i, int(np.argmax(inside))] = BEGIN
+            if inside.any():
+                gold[i, : b - a][inside] = INSIDE
+                gold[i, int(np.argmax(inside))] = BEGIN
     live = index >= 0
     weights, moves = np.zeros((ROWS, 3)), np.zeros((3, 3))
     sq_w, sq_m = np.full((ROWS, 3), 1e-6), np.full((3, 3), 1e-6)
@@ -307,15 +315,48 @@ def train(prose: list[str], size: int = 4000, epochs: int = 25, seed: int = 5) -
 
 
 def fit_secret_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> SecretModel:
-    """Trains between lines of at most rows documents, taken by a hash of the id; no label column is needed."""
+    """Trains between lines of at most rows documents, taken by a hash of the id; no label column is needed.
+
+    Of each such document one line serves, and of it LINE_CHARS characters from a place on, both by the hash;
+    what is scanned later are whole texts.
+    """
     n = docs.select(id_col).count()
-    part = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) < (1 << 30) * min(1.0, 1.5 * rows / max(n, 1)))
+    key = F.xxhash64(F.col(id_col).cast("string"))
+    part = docs.where(F.pmod(key, F.lit(1 << 30)) < (1 << 30) * min(1.0, 1.5 * rows / max(n, 1)))
     # a line is enough of each document, so the driver gets rows lines, not texts
-    line = F.substring(F.element_at(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n"), 1), 1, 400)
-    got = part.select(F.xxhash64(F.col(id_col).cast("string")).alias("o"), line.alias("line")).sort("o", "line").limit(rows).collect()
+    part = part.select(key.alias("o"), F.filter(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n"), lambda x: F.length(F.trim(x)) > 0).alias("lines")).where(F.size("lines") > 0)
+    line = F.element_at("lines", (F.pmod(F.shiftright("o", 7), F.size("lines").cast("long")) + 1).cast("int"))
+    part = part.select("o", line.alias("line"))
+    place = F.pmod(F.shiftright("o", 31), F.greatest(F.length("line") - LINE_CHARS, F.lit(0)).cast("long") + 1) + 1
+    got = part.select("o", F.substring("line", place.cast("int"), F.lit(LINE_CHARS)).alias("line")).sort("o", "line").limit(rows).collect()
     return train([r["line"] for r in got])
 
 
+def code_points(text: bytes, offsets: list[int]) -> list[int]:
+    """The code points before each of some rising byte offsets."""
+    out, at, count = [], 0, 0
+    lead = np.frombuffer(text, dtype=np.uint8)
+    for o in offsets:
+        count += o - at if text.isascii() else int(np.count_nonzero((lead[at:o] & 0xC0) != 0x80))
+        at = o
+        out.append(count)
+    return out
+
+
+def field_spans(texts: list[bytes], model: SecretModel) -> list[list[tuple[int, int]]]:
+    """The spans of each text that the model finds, in code points."""
+    at = np.cumsum([0, *[len(x) + 1 for x in texts]])
+    t = tokens(texts)
+    found: list[list[int]] = [[] for _ in texts]
+    for a, b, i in model.spans(t):
+        found[i] += [int(t.starts[a] - at[i]), int(t.ends[b - 1] - at[i])]
+    out = []
+    for x, offsets in zip(texts, found, strict=True):
+        places = code_points(x, offsets)
+        out.append(list(zip(places[::2], places[1::2], strict=True)))
+    return out
+
+
 def scan(texts: list[bytes], model: SecretModel) -> list[list[Span]]:
     """All spans of each text: those of the patterns, and those of the model that touch none of them."""
     low = b"\n".join(texts).lower()
@@ -333,21 +374,25 @@ def scan(texts: list[bytes], model: SecretModel) -> list[list[Span]]:
     out: list[list[Span]] = []
     for i, x in enumerate(texts):
         out.append(base_spans(x.decode("utf-8", "replace"), i in hexes) if i in hexes or i in keys or b"AKIA" in x else [])
-    t = tokens(texts)
-    for a, b, i in model.spans(t):
-        s, e = int(t.starts[a] - at[i]), int(t.ends[b - 1] - at[i])
-        s = len(texts[i][:s].decode("utf-8", "replace"))
-        e = s + len(texts[i][int(t.starts[a] - at[i]) : e].decode("utf-8", "replace"))
-        if all(e <= x or s >= y for _, x, y in out[i]):
-            out[i].append((EXTRA, s, e))
+    for i, more in enumerate(field_spans(texts, model)):
+        if more:
+            base, k, top = sorted((x, y) for _, x, y in out[i]), 0, -1  # top: where the base spans that begin before e end
+            for s, e in more:
+                while k < len(base) and base[k][0] < e:
+                    top = max(top, base[k][1])
+                    k += 1
+                if top <= s:
+                    out[i].append((EXTRA, s, e))
     return [ordered(x) for x in out]
 
 
 def found_secrets(docs: DataFrame, model: SecretModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans: array of (kind, start, end)) for every row; code points, end exclusive.
 
-    A null or empty text has no spans. Texts are scanned whole. Rows with equal or null ids are
-    scanned like any other; other columns are ignored.
+    Kinds are those of the fixed patterns, and crf for spans of the model that touch none of these. A null or
+    empty text has no spans. Texts are scanned whole, each by one task, which holds some 100 bytes for
+    each of a text's tokens. Rows with equal or null ids are scanned like any other; other columns are
+    ignored.
     """
     def scanned(batches):
         import pyarrow as pa
