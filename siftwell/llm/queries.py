@@ -11,7 +11,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_token_counts": token_counts.op6_token_counts,
-    "op6_token_totals": token_counts.op6_token_totals,
+    "token_rollup_by_patterns": token_counts.token_rollup_by_patterns,
     "op7_packing": packing.op7_packing,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_warc": warc.op9_warc,
@@ -20,7 +20,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.ORACLE,
-    "op6_token_counts": token_counts.ORACLE,
+    "token_rollup_by_patterns": token_counts.ORACLE,
     "op8_license_scan": licenses.ORACLE,
     "op9_warc": warc.ORACLE,
 }
