@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about so many bytes, so that temporaries stay small.
 SLICE_BYTES = 1 << 21
+#: Bytes that are hashed at once.
+HASH_BLOCK = 1 << 21
 
 _scratch: list[tuple[SparkSession, str]] = []
 
@@ -122,12 +124,37 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each data[start:end] that does not depend on where it stands."""
+def _block_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each data[start:end], its bytes (plus one) weighted by powers that count from start, summed modulo 2^64."""
     power, inverse = _tables(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    return (total[ends] - total[starts]) * inverse[starts]
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = HASH_BLOCK) -> np.ndarray:
+    """A 64-bit hash of each data[start:end] that does not depend on where it stands; spans rise and do not overlap.
+
+    Spans are hashed in blocks of about block bytes, and a longer span in pieces whose sums are carried
+    on, so what this takes besides its result does not grow with a text.
+    """
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, base + block, side="right")))
+        if int(ends[j - 1]) - base <= block:
+            out[i:j] = _block_sums(data[base : int(ends[j - 1])], starts[i:j] - base, ends[i:j] - base)
+        else:  # one long span
+            total, step = 0, pow(_MULTIPLIER, block, 1 << 64)
+            pieces = range(base, int(ends[i]), block)
+            for k in reversed(pieces):
+                piece = data[k : min(k + block, int(ends[i]))]
+                own = _block_sums(piece, np.zeros(1, dtype=np.int64), np.array([len(piece)]))
+                total = (int(own[0]) + total * step) % (1 << 64)
+            out[i] = total
+        i = j
+    return mix(out)
 
 
 _SPACE = np.zeros(256, dtype=bool)
