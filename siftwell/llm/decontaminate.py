@@ -12,7 +12,7 @@ from siftwell.llm.common import as_bytes, hash_spans, mix, runs, slices, table
 
 #: A passage matches an item of n words when it differs from it by EDITS * n insertions, deletions and replacements of words at most.
 EDITS = 0.2
-#: Items with fewer words are no evidence of a leak and are not searched.
+#: Items with fewer words may not be changed at all (EDITS of them is no whole word) and are searched as they stand.
 MIN_WORDS = 5
 #: Share of simulated passages with the most edits allowed, of each kind, that repetitions are added for; symbols in a key, keys for each walk, walks beyond which building an index fails.
 RECALL, SYMBOLS, SAMPLES, MAX_WALKS = 0.98, 3, 8, 400
@@ -27,10 +27,38 @@ _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 
 
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of lower-cased UTF-8 text.
+
+    Words are runs of letters and digits. Signs and spaces of the blocks Latin-1, General Punctuation, CJK
+    and full-width forms divide words as ASCII ones do; characters of scripts that are written without
+    spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) are words of their own.
+    """
+    mask = _WORD[data]
+    if not (data >= 0xC2).any():
+        return runs(mask)
+    # the bytes that follow each, 0 after the end
+    second, third = np.append(data[1:], np.uint8(0)), np.append(data[2:], np.zeros(min(2, len(data)), np.uint8))
+    two = data == 0xC2
+    wide = (third < 0x90) | ((third >= 0x9A) & (third < 0xA1))
+    three = ((data == 0xE2) & (second <= 0x81)) | ((data == 0xE3) & (second == 0x80)) | ((data == 0xEF) & (second == 0xBC) & wide)
+    lone = (data >= 0xE3) & (data <= 0xE9) & ~three
+    lone |= (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    lone |= (data == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    for k in range(3):
+        mask[k:][three[: len(three) - k]] = False
+        if k < 2:
+            mask[k:][two[: len(two) - k]] = False
+    cut = lone.copy()  # a word begins at a lone character and after it
+    cut[3:] |= lone[:-3]
+    before, after = np.append(False, mask[:-1]), np.append(mask[1:], False)
+    return np.flatnonzero(mask & (~before | cut)), np.flatnonzero(mask & (~after | np.append(cut[1:], True))) + 1
+
+
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words (runs of letters and digits, A-Z lower-cased) and where each text's words begin; a 0 ends each text."""
+    """Hashed words, A-Z lower-cased, and where each text's words begin; a 0 ends each text."""
     data = np.frombuffer((b"\n".join(texts) + b"\n").lower(), dtype=np.uint8)
-    starts, ends = runs(_WORD[data])
+    starts, ends = word_spans(data)
     at = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(x) + 1 for x in texts], out=at[1:])
     first = np.searchsorted(starts, at)
@@ -68,6 +96,14 @@ def word_pairs(words: np.ndarray) -> np.ndarray:
     return mix(words * np.uint64(0xD6E8FEB86659FD93) + np.append(words[1:], np.uint64(0)))
 
 
+def runs_of(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n words from each place on, where that many follow."""
+    out = words[: max(0, len(words) - n + 1)].copy()
+    for k in range(1, n):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + words[k : k + len(out)]
+    return mix(out)
+
+
 def edit_distance_inside(item: list[int], text: list[int], most: int) -> int | None:
     """The least edit distance between item and a part of text, if it is most or less (Myers' bit vectors)."""
     masks: dict[int, int] = {}
@@ -124,12 +160,22 @@ def _joined(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 class BenchmarkIndex:
-    """Items by id, and their LSH keys; as many walks as simulated passages of each kind need to reach the recall."""
+    """Items by id, and their LSH keys; as many walks as simulated passages of each kind need to reach the recall.
+
+    Items under min_words words are kept apart, by the hash of all their words.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]], edits: float = EDITS, recall: float = RECALL, min_words: int = MIN_WORDS):
         words, at = words_of([x for _, x in items])
         self.edits = edits
-        self.items = {i: words[a : b - 1] for (i, _), a, b in zip(items, at[:-1], at[1:], strict=True) if b - 1 - a >= min_words}
+        every = {i: words[a : b - 1] for (i, _), a, b in zip(items, at[:-1], at[1:], strict=True) if b - 1 > a}
+        self.sizes = {i: len(x) for i, x in every.items()}
+        self.items = {i: x for i, x in every.items() if len(x) >= min_words}
+        self.own_pairs = {i: set(word_pairs(x)[:-1].tolist()) for i, x in self.items.items()}
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, x in every.items():
+            if len(x) < min_words:
+                self.short.setdefault(len(x), {}).setdefault(int(runs_of(x, len(x))[0]), []).append(i)
         self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *[word_pairs(x)[:-1] for x in self.items.values()]]))
         self.present = np.zeros(1 << 20, dtype=bool)
         self.present[(self.pairs >> np.uint64(44)).astype(np.int64)] = True
@@ -214,6 +260,11 @@ class BenchmarkIndex:
             starts = total[np.minimum(ends + c.size - 1, len(words))] - total[:-1] >= c.least
             lasts = total[:-1] - total[np.maximum(ends - c.size + 1, 0)] >= c.least
             places.append((np.flatnonzero(starts & (words != 0)), np.flatnonzero(lasts & (words != 0))))
+        for n, known_runs in self.short.items():
+            found = runs_of(words, n)
+            for place in np.flatnonzero(np.isin(found, np.array(list(known_runs), dtype=np.uint64))).tolist():
+                doc = int(np.searchsorted(first, place, side="right")) - 1
+                out[doc].update(dict.fromkeys(known_runs[int(found[place])], 0))
         tried: set = set()
         for number in range(max((len(c.samples) for c in self.classes), default=0)):
             coins: dict[int, np.ndarray] = {}
@@ -221,10 +272,10 @@ class BenchmarkIndex:
                 if number < len(c.samples):
                     at = at[number % 2]
                     for s in range(0, len(at), 1 << 16):
-                        self._search(c, number, words, first, at[s : s + (1 << 16)], coins, tried, out)
+                        self._search(c, number, words, pairs, first, at[s : s + (1 << 16)], coins, tried, out)
         return out
 
-    def _search(self, c: LengthClass, number: int, words, first, at, coins, tried, out) -> None:
+    def _search(self, c: LengthClass, number: int, words, pairs, first, at, coins, tried, out) -> None:
         keys = _keys(words, at, c, number, coins)
         known_keys, owners, back = c.keys[number], c.owners[number], number % 2
         low = np.searchsorted(known_keys, keys)
@@ -245,7 +296,11 @@ class BenchmarkIndex:
                 goal = self.items[item]
                 slack = self.allowed(len(goal))
                 # the start and the length of what stands before it may each be off by as many words as edits
-                part = words[max(int(first[doc]), start - 2 * slack) : max(0, min(int(first[doc + 1]) - 1, start + len(goal) + 2 * slack))]
+                low_end, high_end = max(int(first[doc]), start - 2 * slack), max(0, min(int(first[doc + 1]) - 1, start + len(goal) + 2 * slack))
+                # as for the windows: all but twice the allowed edits of the item's own pairs must be there
+                if len(self.own_pairs[item].difference(pairs[low_end : max(low_end, high_end - 1)].tolist())) > 2 * slack:
+                    continue
+                part = words[low_end:high_end]
                 edits = edit_distance_inside(goal.tolist(), part.tolist(), slack)
                 if edits is not None and (known is None or edits < known):
                     out[doc][item] = edits
@@ -254,7 +309,7 @@ class BenchmarkIndex:
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, edits: float = EDITS) -> DataFrame:
     """(id, item, edits, n_words): every item with a passage in a document, and its least edit distance in words.
 
-    Words are runs of letters and digits, A-Z lower-cased. The benchmark is searched in blocks of about
+    Words are runs of letters and digits, A-Z lower-cased; see word_spans for scripts without spaces. The benchmark is searched in blocks of about
     block_bytes, each a pass over the documents with nothing shuffled; a block's index is the only
     thing sent to the tasks, so what they hold does not grow with either table. Every window of every
     whole text is embedded unless too few of its pairs of neighbouring words occur in any item. A match found by LSH is
@@ -262,8 +317,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     as measured on simulated passages, with edits spread or bunched in any part, when the index is built,
     and exact copies are never missed. Items over PART_WORDS words are found by their parts.
 
-    Null and empty texts match nothing, as do items under MIN_WORDS words. Equal items are reported
-    each. Rows with equal ids are reported each. Other columns are ignored. Ids are integers.
+    Items under MIN_WORDS words are found by equal hashes of all their words in a row.
+
+    Null and empty texts, and items without a word, match nothing. Equal items are reported each; of items
+    with equal ids the last one counts. Rows with equal or null ids are reported each. A text of any length
+    is searched whole by one task, which holds some 60 bytes for each of its words besides the text. Other
+    columns are ignored. Ids are integers.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text")).where("item is not null and text is not null")
@@ -279,7 +338,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
             for batch in batches:
                 ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-                got = [(ids[s + i], item, n, len(index.items[item])) for s, e in slices(texts, 1 << 20) for i, x in enumerate(index.matches(texts[s:e])) for item, n in sorted(x.items())]
+                got = [(ids[s + i], item, n, index.sizes[item]) for s, e in slices(texts, 1 << 20) for i, x in enumerate(index.matches(texts[s:e])) for item, n in sorted(x.items())]
                 columns = list(zip(*got, strict=True)) or [[]] * 4
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in columns], names=["id", "item", "edits", "n_words"])
 
