@@ -14,7 +14,7 @@ BINS, BANDS, ROWS = 256, 42, 6
 WIDTH, NUM, DEN = 4, 80, 100
 #: Members that one task slice compares with a centre.
 CHUNK = 256
-#: Up to so many rows of ids (some 60 bytes each) are broadcast to the scan of texts; beyond, texts are shuffled.
+#: Up to so many rows of ids or buckets (60 bytes each at most) are broadcast; beyond, both sides of the join are shuffled.
 BROADCAST_IDS = 400_000
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -104,25 +104,34 @@ def linked(a: np.ndarray, b: np.ndarray, num: int = NUM, den: int = DEN) -> bool
 
 
 def _verify(batches):
-    """Rows (centre, part, is_member, id, text), a centre before its members: the pairs that are linked."""
+    """Rows (centre, part, is_member, id, text), a centre before its members: the pairs that are linked.
+
+    Of a centre's rows with different texts, each counts.
+    """
     import pyarrow as pa
 
-    now, centre = None, None
+    now, centres = None, []
     for batch in batches:
         cols = [batch.column(i).to_pylist() for i in range(4)]
         texts, left, right = as_bytes(batch.column(4)), [], []
         for s, e in slices(texts):
             for c, member, i, x in zip(cols[0][s:e], cols[2][s:e], cols[3][s:e], shingle_sets(texts[s:e]), strict=True):
                 if not member:
-                    now, centre = c, x
-                elif now == c and linked(centre, x):
+                    if now != c:
+                        now, centres = c, []
+                    if not any(np.array_equal(x, y) for y in centres):
+                        centres.append(x)
+                elif now == c and any(linked(y, x) for y in centres if len(y) and len(x)):
                     left.append(c)
                     right.append(i)
         yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
 def _if_few(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
-    """ids of a stored table, marked for a broadcast if they are few; the join gives the same rows either way."""
+    """A stored table, marked for a broadcast if its rows are few; the join gives the same rows either way.
+
+    Beyond that both sides are stored, so adaptive execution can split a key that holds many rows.
+    """
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
@@ -190,34 +199,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket ends in one component. No bucket is capped.
 
     A null or empty text, or one of white space only, is in a component of its own. Rows with the
-    same id are one document; a row without an id gets neither component nor kept = true. Ties of
-    centres go to the smaller id. Other columns are ignored. Ids are integers.
+    same id are one document, which is linked wherever one of its texts is; its empty texts stand alone.
+    A row without an id gets neither component nor kept = true. Ties of centres go to the smaller id. A
+    text of any length is one task's, which holds some 40 bytes for each of its words besides the text.
+    Other columns are ignored. Ids are integers.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketch = stored(texts.mapInArrow(_sketch, "id long, n long, sig string, keys array<long>"))
     heads = stored(sketch.where("sig is not null and id is not null").groupBy("sig").agg(F.min("id").alias("class")))
+    several = stored(sketch.where("sig is not null and id is not null").groupBy("id").agg(F.min("sig").alias("s1"), F.max("sig").alias("s2")).where("s1 <> s2").select("id"))
+    links = None
+    if not several.isEmpty():  # texts of one document belong together
+        own = sketch.select("id", "sig").join(several, "id").distinct().join(heads, "sig")
+        links = stored(own.groupBy("id").agg(F.min("class").alias("a")).join(own, "id").select("a", F.col("class").alias("b")).where("a <> b"))
     keyed = sketch.join(heads.select(F.col("class").alias("id"), F.col("sig").alias("head")), "id").where("sig = head")
     member = keyed.select(F.col("id").alias("class"), F.explode("keys").alias("bucket")).distinct()  # a key holds its band's number
     size = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(member.join(stored(size), "bucket"))  # sides that are stored can be split where a bucket is large
+    shared = stored(member.join(_if_few(stored(size)), "bucket"))
     weight = stored(shared.groupBy("class").agg(F.sum(F.col("size") - 1).alias("weight")))
     shared = stored(shared.join(weight, "class").select("bucket", "class", "size", F.struct("weight", (-F.col("class")).alias("order")).alias("rank")))
 
     texts = stored(texts.join(_if_few(stored(shared.select(F.col("class").alias("id")).distinct())), "id", "left_semi"))  # others meet nothing
 
-    seen, links, groups, used, turn = None, None, None, None, 0
+    seen, groups, used, turn = None, None, None, 0
     while True:
         if turn == 0:
             hubs = stored(shared.groupBy("bucket").agg(F.max_by("class", "rank").alias("hub")))
-            pairs = shared.join(hubs, "bucket").select(F.col("hub").alias("a"), F.col("class").alias("b"))
+            pairs = shared.join(_if_few(hubs), "bucket").select(F.col("hub").alias("a"), F.col("class").alias("b"))
         else:
             in_group = groups.select(F.col("node").alias("class"), "component")
             wide = shared.where("size > 2").join(in_group, "class", "left").withColumn("component", F.coalesce("component", "class"))
-            mixed = wide.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("bucket")
-            wide = stored(wide.join(mixed, "bucket").select("bucket", "class", "rank", "component"))
+            mixed = stored(wide.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("bucket"))
+            wide = stored(wide.join(_if_few(mixed), "bucket").select("bucket", "class", "rank", "component"))
             free = stored(wide.join(used.withColumnRenamed("hub", "class"), ["bucket", "class"], "left_anti"))
             hubs = stored(free.groupBy("bucket").agg(F.max_by(F.struct("class", "component"), "rank").alias("h")).select("bucket", F.col("h.class").alias("hub"), F.col("h.component").alias("own")))
-            pairs = wide.join(hubs, "bucket").where("component <> own").select(F.col("hub").alias("a"), F.col("class").alias("b"))
+            pairs = wide.join(_if_few(hubs), "bucket").where("component <> own").select(F.col("hub").alias("a"), F.col("class").alias("b"))
             hubs = hubs.select("bucket", "hub")
         used = hubs if used is None else used.union(hubs)
         pairs = pairs.where("a <> b").withColumns({"low": F.least("a", "b"), "high": F.greatest("a", "b")}).groupBy("low", "high").agg(F.min("a").alias("a"))
