@@ -17,8 +17,8 @@ from siftwell.llm.language import UNKNOWN, fit_language_model, predicted
 from siftwell.llm.near_dedup import near_duplicates
 from siftwell.llm.packing import packed
 
-#: Documents whose language is less probable than this are rejected.
-LEAST_SCORE = 0.5
+#: Documents whose language is less probable than this are rejected; the scores are calibrated, and four languages leave 0.25 to chance.
+LEAST_SCORE = 0.4
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
