@@ -156,11 +156,22 @@ def content_key(*parts: Column) -> Column:
     return F.sha2(F.concat(*pieces), 256)
 
 
+def json_text(raw: Column) -> Column:
+    """The JSON object that a text holds, also between code fences; null if there is none."""
+    fenced = F.regexp_extract(raw, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
+    is_object = lambda x: F.when(F.coalesce(F.schema_of_variant(F.try_parse_json(x)).startswith("OBJECT"), F.lit(False)), x)
+    return F.coalesce(is_object(F.trim(raw)), is_object(F.nullif(fenced, F.lit(""))))
+
+
 def json_object(raw: Column, schema: str) -> Column:
     """A JSON object, also between code fences, by schema; null if there is none."""
-    fenced = F.regexp_extract(raw, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    whole = F.when(F.ltrim(raw).startswith("{"), F.from_json(raw, schema, {"mode": "PERMISSIVE"}))
-    return F.coalesce(whole, F.when(fenced != "", F.from_json(fenced, schema)))
+    return F.from_json(json_text(raw), schema, {"mode": "PERMISSIVE"})
+
+
+def lax_boolean(value: Column) -> Column:
+    """A boolean, or one of its usual words, as text; null for anything else."""
+    word = F.lower(F.trim(value))
+    return F.when(word.isin("true", "1", "yes", "y", "on", "t"), True).when(word.isin("false", "0", "no", "n", "off", "f"), False)
 
 
 def epoch_millis(text: Column, zone: str = "Asia/Shanghai") -> Column:
