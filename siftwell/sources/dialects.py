@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,21 +13,61 @@ TURN = (
     "question string, answer string, answer_full string, trace_id string, run_id string, chain array<" + STEP + ">, request_time string, first_token_ms double, total_duration_ms double, "
     "input_tokens long, output_tokens long, user_id string, status string, outcome string, last_event_type string, tool_names string, tool_count long"
 )
-_registry: dict[str, Callable[[DataFrame], DataFrame]] = {}
+#: Why a session without a context is left out.
+EMPTY = "empty_context"
 
 
-def register(name: str, adapt: Callable[[DataFrame], DataFrame]) -> None:
-    """Adds a dialect: adapt takes (row_ord, json) and gives (row_ord, session_key, mode, reject, turns)."""
+@dataclass(frozen=True)
+class Dialect:
+    """markers: top-level names that a record of the dialect has; valid: whether they hold what they should, of (json);
+    adapt: (row_ord, json) to (row_ord, session_key, mode, reject, turns)."""
+
+    markers: tuple[str, ...]
+    valid: Callable[[Column], Column]
+    adapt: Callable[[DataFrame], DataFrame]
+
+
+_registry: dict[str, Dialect] = {}
+
+
+def register(name: str, markers: tuple[str, ...], valid: Callable[[Column], Column], adapt: Callable[[DataFrame], DataFrame]) -> None:
+    """Adds a dialect; a name can be taken once. Those that came first are recognised first."""
     if name in _registry:
         raise ValueError(f"dialect {name} is registered already")
-    _registry[name] = adapt
+    _registry[name] = Dialect(markers, valid, adapt)
 
 
-def adapt(records: DataFrame, dialect: str) -> tuple[DataFrame, DataFrame]:
-    """(sessions: row_ord, session_key, mode, turns; rejects: row_ord, reason) of records (row_ord, json)."""
+def unregister(name: str) -> None:
+    del _registry[name]
+
+
+def names() -> list[str]:
+    return list(_registry)
+
+
+def dialect_of(record: Column) -> Column:
+    """The dialect of a JSON object, '' if it has no dialect's names; a half or ill-typed set of names is 'invalid'."""
+    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    has = lambda name: F.array_contains(keys, name)
+    out, some = F.lit(None).cast("string"), F.lit(False)
+    for name, dialect in _registry.items():
+        whole = F.coalesce(dialect.valid(record), F.lit(False))
+        for marker in dialect.markers:
+            whole, some = whole & has(marker), some | has(marker)
+        out = F.coalesce(out, F.when(whole, name))
+    return F.coalesce(out, F.when(some, "invalid"), F.lit(""))
+
+
+def adapted(records: DataFrame, dialect: str) -> DataFrame:
+    """(row_ord, session_key, mode, reject, turns) of records (row_ord, json); reject tells why one can't be a session."""
     if dialect not in _registry:
         raise ValueError(f"no dialect {dialect}")
-    out = _registry[dialect](records)
+    return _registry[dialect].adapt(records)
+
+
+def adapt(records: DataFrame, dialect: str) -> tuple[DataFrame, DataFrame]:
+    """(sessions: row_ord, session_key, mode, turns; rejects: row_ord, reason) of records (row_ord, json)."""
+    out = adapted(records, dialect)
     return out.where("reject is null").drop("reject"), out.where("reject is not null").select("row_ord", F.col("reject").alias("reason"))
 
 
@@ -84,8 +125,7 @@ def _adapt_session(records: DataFrame) -> DataFrame:
     j = F.col("json")
     items = _items(j, "$.context")
 
-    def turn(v: Column) -> Column:
-        t = F.to_json(v)
+    def turn(t: Column) -> Column:
         absent = lambda name: ~F.array_contains(F.json_object_keys(t), name)
         value = lambda name: F.get_json_object(t, f"$.{name}")
         a, full = _text(t, "$.answer"), _text(t, "$.answer_full")
@@ -98,8 +138,10 @@ def _adapt_session(records: DataFrame) -> DataFrame:
             last_event_type=value("last_event_type"), tool_names=blank_first("tool_names", "tool_names_text"), tool_count=value("tool_count").try_cast("long"),
         )
 
-    objects = F.filter(items, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
-    return records.select("row_ord", _text(j, "$.thread_id").alias("session_key"), F.lit("all").alias("mode"), F.when(items.isNull(), "adapt_failed: context is no array").alias("reject"), F.transform(objects, turn).alias("turns"))
+    objects = F.transform(F.filter(items, lambda v: F.schema_of_variant(v).startswith("OBJECT")), lambda v: F.to_json(v))
+    nothing = F.coalesce(F.get_json_object(j, "$.context"), F.lit("")).isin("", "[]", "{}", "false", "0")
+    reject = F.when(nothing, EMPTY).when(items.isNull(), "adapt_failed: context is no array")
+    return records.select("row_ord", _text(j, "$.thread_id").alias("session_key"), F.lit("all").alias("mode"), reject.alias("reject"), F.transform(objects, turn).alias("turns"))
 
 
 def _adapt_chat(records: DataFrame) -> DataFrame:
@@ -108,7 +150,8 @@ def _adapt_chat(records: DataFrame) -> DataFrame:
     prior = _items(j, "$.judge_data.context")
     odd = F.exists(prior, lambda v: ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
     data = F.get_json_object(j, "$.judge_data")
-    before = F.transform(prior, lambda v: _turn(question=_text(F.to_json(v), "$.question"), answer=_text(F.to_json(v), "$.answer")))
+    said = F.transform(prior, lambda v: F.to_json(v))
+    before = F.transform(said, lambda t: _turn(question=_text(t, "$.question"), answer=_text(t, "$.answer")))
     raw_input = F.get_json_object(j, "$.judge_data.input")
     own = F.when(F.ltrim(raw_input).startswith("{"), _text(j, "$.judge_data.input.text")).otherwise(F.coalesce(raw_input, F.lit("")))
     text, raw = _text(j, "$.judge_data.text_answer"), _text(j, "$.judge_data.raw_answer")
@@ -122,5 +165,13 @@ def _adapt_chat(records: DataFrame) -> DataFrame:
     return records.select("row_ord", _first(_text(j, "$.judge_data.case_id"), _text(j, "$.trace_id")).alias("session_key"), F.lit("last_only").alias("mode"), reject.alias("reject"), F.concat(before, F.array(last)).alias("turns"))
 
 
-register("session", _adapt_session)
-register("chat", _adapt_chat)
+def _is(record: Column, name: str, kind: str) -> Column:
+    return F.schema_of_variant(F.try_parse_json(F.get_json_object(record, f"$.{name}"))).startswith(kind)
+
+
+def _session_valid(record: Column) -> Column:
+    return (F.coalesce(F.get_json_object(record, "$.thread_id"), F.lit("")) != "") & _is(record, "context", "ARRAY")
+
+
+register("session", ("thread_id", "context"), _session_valid, _adapt_session)
+register("chat", ("judge_data",), lambda record: _is(record, "judge_data", "OBJECT"), _adapt_chat)
