@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.functions.text import SLOTS, collapse, length_without_signs, normalize_question, shared_slot_counts_equal, slot_counts, slot_entities, text_or_empty, tokens
+from siftwell.functions.text import SLOTS, length_without_signs, normalize_question, shared_slot_counts_equal, slot_counts, slot_entities, text_or_empty, tokens
 from siftwell.operators.components import connected_components
 from siftwell.operators.store import cut
 
@@ -30,30 +30,51 @@ def template_classes(profile: DataFrame, least: int = MIN_TEMPLATE_TOKENS) -> Da
     return keyed.join(first, "key").select("row_ord", "template")
 
 
+def token_classes(rows: DataFrame, *more: str) -> DataFrame:
+    """(row_ord, head): rows (row_ord, tokens) with equal sets of tokens, and equal columns more; head is the first of them."""
+    key = F.sha2(F.to_json(F.struct(F.array_sort("tokens").alias("t"), *more)), 256)
+    keyed = cut(rows.select("row_ord", key.alias("key")))
+    first = cut(keyed.groupBy("key").agg(F.min("row_ord").alias("head")))
+    return keyed.join(first, "key").select("row_ord", "head")
+
+
+def ranked_tokens(sets: DataFrame, column: str = "tokens") -> DataFrame:
+    """(row_ord, n, token, df, place) of each set's tokens, the rarest first; ties go by the token."""
+    each = sets.select("row_ord", F.size("tokens").alias("n"), F.explode(column).alias("token"))
+    frequency = cut(each.groupBy("token").agg(F.count("*").alias("df")))
+    place = F.row_number().over(Window.partitionBy("row_ord").orderBy("df", "token"))
+    return each.join(frequency, "token").withColumn("place", place)
+
+
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(row_ord, n, token, place) of each set's rarest tokens, up to the last that can be the first it has in common with a similar set.
+
+    Two sets of n and m tokens with a Jaccard similarity t share t / (1 + t) of n + m, so the rarest one that both
+    hold is among the first n - ceil(t n) + 1 of each. Tokens that one set alone holds are left out.
+    """
+    within = F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    return ranked_tokens(sets).where(within & (F.col("df") > 1)).select("row_ord", "n", "token", "place")
+
+
 def similar_pairs(profile: DataFrame, threshold: float = THRESHOLD, mode: str = "exact", anchors: int = ANCHORS) -> DataFrame:
     """(a, b, similarity) of rows a < b whose tokens have a Jaccard similarity of threshold or more and whose shared slots agree.
 
-    mode 'exact' joins on prefixes: with tokens in order of rarity, two sets of n tokens and this similarity
-    share one of the first n - ceil(threshold n) + 1 of each; none is missed. mode 'anchors' joins the rarest
-    few shared words of the row that comes first with all words of the other, which can miss pairs.
-    Sizes are compared before tokens; tokens that one row holds alone are never joined.
+    mode 'exact' joins on the sets' prefixes; none is missed. mode 'anchors' joins the rarest few shared words of
+    the row that comes first with all words of the other, which can miss pairs. Sizes are compared before
+    tokens; tokens that one row holds alone are never joined. Rows with equal tokens make pairs like any others:
+    where there may be many, give one row of each of token_classes.
     """
     some = profile.where(F.size("words") > 0)
-    column = "tokens" if mode == "exact" else "words"
-    each = some.select("row_ord", F.size("tokens").alias("n"), F.explode(column).alias("token"))
-    frequency = cut(each.groupBy("token").agg(F.count("*").alias("df")))
-    ranked = each.join(frequency, "token")
-    place = F.row_number().over(Window.partitionBy("row_ord").orderBy("df", "token"))
     sets = some.select("row_ord", "tokens", "counts")
     if mode == "exact":
-        prefix = cut(ranked.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).where("df > 1").select("row_ord", "n", "token"))
-        left = right = prefix
+        left = right = cut(prefixes(some, threshold))
     else:
-        shared = ranked.where("df > 1")
-        left, right = cut(shared.withColumn("place", place).where(F.col("place") <= anchors).select("row_ord", "n", "token")), cut(shared.select("row_ord", "n", "token"))
-    l, r = left.select("token", F.col("row_ord").alias("a"), F.col("n").alias("na")), right.select("token", F.col("row_ord").alias("b"), F.col("n").alias("nb"))
+        shared = cut(ranked_tokens(some, "words").where("df > 1"))
+        place = F.row_number().over(Window.partitionBy("row_ord").orderBy("df", "token"))
+        left, right = shared.withColumn("place", place).where(F.col("place") <= anchors), shared
+    x, y = left.select("token", F.col("row_ord").alias("a"), F.col("n").alias("na")), right.select("token", F.col("row_ord").alias("b"), F.col("n").alias("nb"))
     fits = F.least("na", "nb") * (1 + threshold) >= threshold * (F.col("na") + F.col("nb")) - 1e-9
-    pairs = cut(l.join(r, "token").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct())
+    pairs = cut(x.join(y, "token").where((F.col("a") < F.col("b")) & fits).select("a", "b").distinct())
     full = pairs.join(sets.select(F.col("row_ord").alias("a"), F.col("tokens").alias("ta"), F.col("counts").alias("ca")), "a")
     full = full.join(sets.select(F.col("row_ord").alias("b"), F.col("tokens").alias("tb"), F.col("counts").alias("cb")), "b")
     common = F.size(F.array_intersect("ta", "tb"))
@@ -61,6 +82,14 @@ def similar_pairs(profile: DataFrame, threshold: float = THRESHOLD, mode: str =
     return full.where(shared_slot_counts_equal(F.col("ca"), F.col("cb"))).select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def linked_rows(profile: DataFrame, threshold: float = THRESHOLD, mode: str = "exact") -> DataFrame:
+    """(a, b, similarity): the similar pairs of one row of each class of equal tokens and slots, and each class's first row with its others."""
+    classes = cut(token_classes(profile.where(F.size("words") > 0), "counts"))
+    heads = cut(profile.join(classes.select(F.col("head").alias("row_ord")).distinct(), "row_ord", "left_semi"))
+    star = classes.where("row_ord <> head").select(F.col("head").alias("a"), F.col("row_ord").alias("b"), F.lit(1.0).alias("similarity"))
+    return similar_pairs(heads, threshold, mode).union(star)
+
+
 def lexical_clusters(rows: DataFrame, threshold: float = THRESHOLD, slots: bool = True, mode: str = "exact", compatible: bool = True) -> DataFrame:
     """(row_ord, representative, kept, method, similarity) for every row of (row_ord, text).
 
@@ -74,7 +103,7 @@ def lexical_clusters(rows: DataFrame, threshold: float = THRESHOLD, slots: bool
     best = profile.join(templates, "row_ord").groupBy("template").agg(F.max_by("row_ord", F.struct("size", (-F.col("row_ord")).alias("o"))).alias("row_ord"))
     alone = profile.join(templates, "row_ord", "left_anti").select("row_ord")
     compared = profile.join(alone.union(best.select("row_ord")), "row_ord", "left_semi")
-    pairs = similar_pairs(compared, threshold, mode).select("a", "b")
+    pairs = linked_rows(cut(compared), threshold, mode).select("a", "b")
     same = profile.where((F.size("words") == 0) & (F.col("normal") != "")).select("row_ord", "normal")
     first = cut(same.groupBy("normal").agg(F.min("row_ord").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"))
     edges = pairs.union(templates.select(F.col("template").alias("a"), F.col("row_ord").alias("b"))).union(same.join(first, "normal").select("a", F.col("row_ord").alias("b")))
@@ -90,9 +119,9 @@ def lexical_clusters(rows: DataFrame, threshold: float = THRESHOLD, slots: bool
     return out.select("row_ord", rep.alias("representative"), (~dropped).alias("kept"), F.when(dropped, method).alias("method"), F.when(dropped, common / (F.size("tokens") + F.size("best.tokens") - common)).alias("similarity"))
 
 
-def exact_text_groups(rows: DataFrame) -> DataFrame:
-    """(row_ord, representative) by normalised text (white space collapsed); blank texts stand alone."""
-    normal = rows.select("row_ord", collapse(text_or_empty(F.col("text"))).alias("normal"))
-    first = normal.where("normal <> ''").groupBy(F.sha2("normal", 256).alias("key")).agg(F.min("row_ord").alias("first"))
-    keyed = normal.select("row_ord", F.when(F.col("normal") != "", F.sha2("normal", 256)).alias("key"))
+def exact_text_groups(rows: DataFrame, compatible: bool = True) -> DataFrame:
+    """(row_ord, representative) by normalised text; blank texts stand alone."""
+    normal = rows.select("row_ord", normalize_question(F.col("text"), compatible).alias("normal"))
+    keyed = cut(normal.select("row_ord", F.when(F.col("normal") != "", F.sha2("normal", 256)).alias("key")))
+    first = cut(keyed.where("key is not null").groupBy("key").agg(F.min("row_ord").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     return keyed.join(first, "key", "left").select("row_ord", F.coalesce("first", "row_ord").alias("representative"))

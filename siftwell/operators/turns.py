@@ -47,22 +47,29 @@ def last_turns(turns: DataFrame, keep: Column | None = None) -> DataFrame:
 def repaired_segments(segments: Column, n: Column, slack: int = 2) -> Column:
     """Spans (start, end, topic) of a session made to touch and to cover 0 .. n - 1; null if that moves ends by more than slack.
 
-    Spans are taken in order of their starts. A topic that comes again takes in all that lies between.
+    Spans are taken in order of their starts; one that begins or ends outside the session, or has no topic, makes
+    all of them null. A topic that comes again takes in all that lies between.
     """
-    spans = F.array_sort(segments)
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("moved"), F.array().cast("array<struct<start:int,end:int,topic:string>>").alias("out"))
+    kind = "array<struct<start:int,end:int,topic:string>>"
+    spans = F.array_sort(F.transform(segments, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"), F.trim(s["topic"]).alias("topic"))))
+    inside = F.forall(spans, lambda s: F.coalesce((s["start"] >= 0) & (s["start"] <= s["end"]) & (s["end"] < n) & (s["topic"] != ""), F.lit(False)))
+    # at: where the next span begins; due: where it should, by what was given; moved: by how much the ends have been moved
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("due"), F.lit(0).alias("moved"), F.array().cast(kind).alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        start, end = F.coalesce(s["start"], F.lit(-1)), F.coalesce(s["end"], F.lit(-2))
-        made = F.struct(acc["at"].cast("int").alias("start"), end.cast("int").alias("end"), s["topic"].alias("topic"))
-        return F.struct((end + 1).cast("int").alias("at"), (acc["moved"] + F.abs(start - acc["at"])).cast("int").alias("moved"), F.concat(acc["out"], F.array(made)).alias("out"))
+        end = F.greatest(s["end"], acc["at"])
+        made = F.struct(acc["at"].alias("start"), end.alias("end"), s["topic"].alias("topic"))
+        moved = acc["moved"] + F.abs(s["start"] - acc["due"])
+        return F.struct((end + 1).alias("at"), (s["end"] + 1).alias("due"), moved.alias("moved"), F.concat(acc["out"], F.array(made)).alias("out"))
 
     folded = F.aggregate(spans, zero, step)
-    moved = folded["moved"] + F.abs(folded["at"] - n)
-    ok = (F.size(spans) > 0) & (moved <= slack) & F.forall(folded["out"], lambda s: s["start"] <= s["end"])
+    moved = folded["moved"] + F.abs(folded["due"] - n)
     last = F.size(folded["out"])
-    out = F.transform(folded["out"], lambda s, i: F.struct(s["start"].alias("start"), F.when(i == last - 1, n - 1).otherwise(s["end"]).cast("int").alias("end"), s["topic"].alias("topic")))
-    return F.when(ok, merged_topics(out))
+    whole = F.transform(
+        folded["out"],
+        lambda s, i: F.struct(s["start"].alias("start"), F.when(i == last - 1, n - 1).otherwise(s["end"]).cast("int").alias("end"), s["topic"].alias("topic")),
+    )
+    return F.when((F.size(segments) > 0) & inside & (moved <= slack), merged_topics(whole))
 
 
 def merged_topics(spans: Column) -> Column:
@@ -84,16 +91,23 @@ def with_segments(turns: DataFrame, segments: DataFrame) -> DataFrame:
     return turns.join(s, inside, "left").drop("span session").withColumns({"start": F.coalesce("start", F.lit(0)), "topic": F.coalesce("topic", F.lit(""))})
 
 
-def with_prior(turns: DataFrame) -> DataFrame:
-    """turns (with start) with prior: the questions and answers before each turn, in order.
+def asked_and_answered(turns: DataFrame) -> DataFrame:
+    """(session, said): each session's questions and answers in order, as one array."""
+    grouped = turns.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("idx", "question", "answer"))).alias("said"))
+    return grouped.select("session", F.transform("said", lambda t: F.struct(t["question"].alias("question"), t["answer"].alias("answer"))).alias("said"))
+
+
+def with_prior(turns: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """turns (session, idx from 0, start) with prior: the questions and answers before each turn, in order.
 
     They come from the turn's own span; a turn that opens a span sees all earlier turns of its session.
+    sessions (session, said) holds all turns of each; turns may be few of them. Each session's texts are
+    gathered once, so what this makes is the result and no more.
     """
-    pair = F.struct("question", "answer")
-    before = lambda *keys: Window.partitionBy(*keys).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    own = F.collect_list(pair).over(before("session", "start"))
-    everything = F.collect_list(pair).over(before("session"))
-    return turns.withColumn("prior", F.when(F.col("idx") == F.col("start"), everything).otherwise(own))
+    sessions = asked_and_answered(turns) if sessions is None else sessions
+    first = F.when(F.col("idx") == F.col("start"), 0).otherwise(F.col("start"))
+    prior = F.slice("said", (first + 1).cast("int"), F.greatest(F.col("idx") - first, F.lit(0)).cast("int"))
+    return turns.join(sessions, "session").withColumn("prior", prior).drop("said")
 
 
 def judge_payload(prior: Column, question: Column) -> Column:
@@ -102,9 +116,9 @@ def judge_payload(prior: Column, question: Column) -> Column:
 
 
 def segment_payload(turns: DataFrame) -> DataFrame:
-    """(session, payload) of all questions of each session with more than one turn."""
+    """(session, n, payload) of all questions of each session with more than one turn."""
     grouped = turns.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("idx", "question"))).alias("t"))
-    return grouped.where(F.size("t") > 1).select("session", F.to_json(F.struct(F.col("t").alias("turns"))).alias("payload"))
+    return grouped.where(F.size("t") > 1).select("session", F.size("t").alias("n"), F.to_json(F.struct(F.col("t").alias("questions"))).alias("payload"))
 
 
 def precheck_profile(sessions: DataFrame) -> DataFrame:
