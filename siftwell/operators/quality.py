@@ -73,9 +73,183 @@ def record_rules(c: dict[str, Column]) -> dict[str, Column]:
     return out
 
 
+#: What a failed rule means.
+DETAILS = {
+    "structure": "a field has another type than the record format", "question": "the question is missing, too short, too long or broken",
+    "category": "the category is not of the taxonomy, or not of this difficulty", "chain": "the chain is missing or has incomplete steps",
+    "answer": "the answer is missing or too short", "refusal": "the answer is missing or refuses", "truncation": "the answer breaks off",
+    "event_type": "the run did not finish", "timing": "the times or token counts can't be", "meta": "the reason is missing, or the translation does not fit the language",
+}
+
+
 def packed_rules(rules: dict[str, Column]) -> Column:
-    """The rules as an array of (rule, ok)."""
-    return F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("ok")) for k, v in rules.items()])
+    """The rules as an array of (rule, ok, detail)."""
+    detail = lambda k, ok: F.when(ok, "ok").otherwise(DETAILS.get(k, k))
+    return F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("ok"), detail(k, v).alias("detail")) for k, v in rules.items()])
+
+
+# The record format, by the kinds of values that its fields hold.
+TEXTS = (
+    "capture_mode", "user_cohort", "source_case_id", "answer_key", "trace_id", "category", "raw_answer", "text_answer", "model_version", "release_id",
+    "agent_mode", "user_id", "difficulty_level",
+)
+NUMBERS = ("first_token_time_ms", "finish_answer_time_ms", "input_tokens", "output_tokens", "request_time_ms")
+LISTS, OBJECTS, OPTIONAL_TEXTS = ("context", "chain", "tools", "multimodal"), ("input", "meta"), ("translation",)
+FIELDS = (*TEXTS, *NUMBERS, *LISTS, *OBJECTS, *OPTIONAL_TEXTS)
+STEP = "struct<plan:string,tools:array<struct<name:string,input:string,output:string>>>"
+RECORD = (
+    "capture_mode string, source_case_id string, trace_id string, category string, input struct<text:string>, tools array<string>, "
+    f"chain array<{STEP}>, raw_answer string, text_answer string, translation string, difficulty_level string, first_token_time_ms double, "
+    "finish_answer_time_ms double, input_tokens double, output_tokens double, meta struct<reason:string,last_event_type:string,"
+    "translate_failed:boolean,semantic_signature:string,complexity_profile:string>"
+)
+CONTENT_FIELDS = ("text_answer", "raw_answer", "input.text", "category", "tools", "meta.reason")
+KEY_FIELDS = ("trace_id", "source_case_id", "category", "input.text", "text_answer", "meta.reason")
+NEAR_DUPLICATE = 0.85
+
+
+def structure_ok(record: Column) -> Column:
+    """Whether a JSON object's fields, where present, hold what the record format says."""
+    v = F.try_parse_json(record)
+    kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+    holds = lambda name, pattern: F.coalesce(kind(f"$.{name}").rlike(pattern), F.lit(True))
+    number = r"\A(?:VOID|BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z"
+    each = [holds(n, r"\ASTRING\z") for n in (*TEXTS, "input.text", "input.image", "input.file", "meta.request_time", "meta.run_id")]
+    each += [holds(n, number) for n in NUMBERS] + [holds(n, r"\AARRAY<") for n in LISTS] + [holds(n, r"\AOBJECT<") for n in OBJECTS]
+    each += [holds(n, r"\A(?:STRING|VOID)\z") for n in (*OPTIONAL_TEXTS, "meta.reason", "meta.last_event_type")]
+    each += [holds("tools", r"\AARRAY<(?:STRING|VOID)>\z"), holds("context", r"\AARRAY<(?:OBJECT<.*>|VOID)>\z")]
+    out = v.isNotNull()
+    for ok in each:
+        out = out & ok
+    return out
+
+
+def typed(records: DataFrame) -> DataFrame:
+    """records (row_ord, line_number, json) as columns of the record format, with signature (canonical), key and rules."""
+    r = records.withColumn("r", F.from_json("json", RECORD)).select("row_ord", "line_number", "json", "r.*")
+    signature = F.get_json_object("json", "$.meta.semantic_signature")
+    columns = {
+        "question": F.col("input.text"), "category": F.col("category"), "difficulty": F.col("difficulty_level"), "chain": F.col("chain"),
+        "capture_mode": F.col("capture_mode"), "tools": F.col("tools"), "answer": F.coalesce(F.nullif("text_answer", F.lit("")), "raw_answer"),
+        "event": F.col("meta.last_event_type"), "first_ms": F.col("first_token_time_ms"), "finish_ms": F.col("finish_answer_time_ms"),
+        "input_tokens": F.col("input_tokens"), "output_tokens": F.col("output_tokens"), "reason": F.col("meta.reason"),
+        "translation": F.col("translation"), "translate_failed": F.col("meta.translate_failed"),
+    }
+    rules = {"structure": structure_ok(F.col("json")), **record_rules(columns)}
+    canonical = F.when(signature.startswith("{"), F.to_json(F.from_json(signature, _SIGNATURE)))
+    key = record_key(F.col("source_case_id"), F.col("trace_id"), F.col("line_number"))
+    return r.withColumns({"rules": packed_rules(rules), "signature": canonical, "key": key})
+
+
+_SIGNATURE = "data_dimensions array<string>, goal string, operations array<string>, output_shape array<string>, subject_type string, temporal_shape string"
+
+
+def near_duplicate_rate(rows: DataFrame, threshold: float = NEAR_DUPLICATE) -> DataFrame:
+    """(row_ord, representative, similarity) of rows (row_ord, text) that repeat another by their words."""
+    from siftwell.operators.dedup import lexical_clusters
+
+    return lexical_clusters(rows.select("row_ord", "text"), threshold).where("not kept").select("row_ord", "representative", "similarity")
+
+
+def _constant(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    flat = rows.select(*[(F.to_json(F.col(f)) if f == "tools" else F.col(f)).alias(f.replace(".", "_")) for f in CONTENT_FIELDS])
+    bad = [r for r in constant_fields(flat, flat.columns).collect() if not r["ok"]]
+    told = [f"{r['field']}: {r['distinct_values']} values, the first in {r['top_share']:.0%}" for r in sorted(bad, key=lambda r: r["field"])]
+    return not told, "; ".join(told) or "ok", told
+
+
+def _near_duplicates(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    found = near_duplicate_rate(rows.select("row_ord", F.col("input.text").alias("text")))
+    n = found.count()
+    who = rows.select("row_ord", F.coalesce("trace_id", F.lit("")).alias("trace_id"))
+    shown = found.join(who, "row_ord").join(who.toDF("representative", "of"), "representative").orderBy("row_ord").limit(20).collect() if n else []
+    return n == 0, f"{n} rows repeat another", [f"{r['trace_id']} repeats {r['of']}: {r['similarity']:.3f}" for r in shown]
+
+
+def _signatures(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    found = residual_duplicates(rows, "signature").first()
+    who = F.slice(F.array_sort(F.collect_list(F.struct("row_ord", "trace_id"))), 1, 8)
+    first = rows.where("signature is not null").groupBy("signature").agg(F.count("*").alias("n"), F.min("row_ord").alias("first")).where("n > 1")
+    shown = first.orderBy("first").limit(20).join(rows, "signature").groupBy("first").agg(who.alias("w")).orderBy("first").collect() if found["families"] else []
+    told = f"{found['families']} families, {found['redundant']} redundant rows, {found['rate']:.2%}"
+    return found["ok"], told, [", ".join(x["trace_id"] or "" for x in r["w"]) for r in shown]
+
+
+def _lengths(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    flat = rows.select(F.col("input.text").alias("question"), F.col("text_answer").alias("answer"))
+    found = [length_outliers(flat, "question", QUESTION_MIN, QUESTION_MAX).first(), length_outliers(flat, "answer", LIMITS.answer_min, None).first()]
+    told = [f"{r['field']}: {r['too_short']} too short, {r['too_long']} too long" for r in found if r["too_short"] or r["too_long"]]
+    return not told, "; ".join(told) or "ok", told
+
+
+def _skew(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    found = category_shares(rows, "category").orderBy(F.desc("n"), "category").collect()
+    unused = sorted(r["category_id"] for r in unused_categories(rows, "category").collect())
+    told = f"the largest category has {found[0]['share']:.0%}" + (f"; without a row: {', '.join(unused)}" if unused else "")
+    return found[0]["share"] <= SKEW, told, [f"{r['category']}: {r['n']}" for r in found]
+
+
+def _empty(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    flat = rows.select(*[F.col(f).alias(f.replace(".", "_")) for f in KEY_FIELDS])
+    told = [f"{r['field']}: {r['empty_rate']:.0%} empty" for r in empty_rates(flat, flat.columns).collect() if not r["ok"]]
+    return not told, "; ".join(told) or "ok", told
+
+
+def _unknown(rows: DataFrame) -> tuple[bool, str, list[str]]:
+    found = sorted(r["name"] for r in unknown_fields(rows, "json", FIELDS).collect())
+    return True, f"unknown fields: {', '.join(found)}" if found else "ok", found
+
+
+#: Rules on all rows of typed(); more can be added. Each gives whether it holds, in words, and evidence.
+DATASET_RULES = {
+    "constant_field": _constant, "near_duplicate": _near_duplicates, "semantic_signature_duplicate": _signatures, "length_outlier": _lengths,
+    "category_skew": _skew, "empty_field_rate": _empty, "unknown_fields": _unknown,
+}
+
+
+def run_dataset_rules(rows: DataFrame) -> list[dict]:
+    """(rule, ok, detail, evidence) of every dataset rule; without rows all hold."""
+    if rows.isEmpty():
+        return [{"rule": name, "ok": True, "detail": "no rows", "evidence": []} for name in DATASET_RULES]
+    return [dict(zip(("rule", "ok", "detail", "evidence"), (name, *check(rows)), strict=True)) for name, check in DATASET_RULES.items()]
+
+
+def judge_payload(rows: DataFrame) -> Column:
+    """What the quality judge is asked about a row of typed()."""
+    names = F.filter(F.flatten(F.transform("chain", lambda s: F.coalesce(F.transform(s["tools"], lambda t: t["name"]), F.array().cast("array<string>")))), lambda x: x.isNotNull())
+    return F.to_json(F.struct(
+        F.col("input.text").alias("question"), F.col("category").alias("label"), F.col("difficulty_level"),
+        F.col("meta.complexity_profile").alias("complexity_profile"), F.size(F.coalesce("chain", F.array().cast(f"array<{STEP}>"))).alias("chain_hops"),
+        F.slice(F.array_distinct(F.coalesce(names, F.array().cast("array<string>"))), 1, 10).alias("tools"),
+    ))
+
+
+def build_results(rows: DataFrame, judged: DataFrame) -> DataFrame:
+    """(row_ord, id, key, ..., status, sampled, rules, judge) of rows of typed(); judged is (row_ord, verdict) of the sampled ones."""
+    kind = "struct<question_quality:string,label_ok:boolean,difficulty_ok:boolean,reason:string>"
+    of = rows.join(judged.select("row_ord", F.lit(True).alias("sampled"), F.col("verdict").cast(kind).alias("v")), "row_ord", "left")
+    v, sampled = F.col("v"), F.coalesce("sampled", F.lit(False))
+    error = F.when(sampled & v.isNull(), "no valid verdict")
+    told = F.struct(*[v[n].alias(n) for n in ("question_quality", "label_ok", "difficulty_ok", "reason")], error.alias("error"))
+    failed = F.exists("rules", lambda r: ~r["ok"])
+    return of.select(
+        "row_ord", "key", F.coalesce(F.nullif("trace_id", F.lit("")), "key").alias("id"), F.coalesce("source_case_id", F.lit("")).alias("source_case_id"),
+        F.coalesce("category", F.lit("")).alias("category"), F.coalesce("difficulty_level", F.lit("")).alias("difficulty_level"),
+        F.left(F.coalesce("input.text", F.lit("")), F.lit(80)).alias("question"),
+        status(failed, sampled, v["question_quality"], v["label_ok"], v["difficulty_ok"], error).alias("status"), sampled.alias("sampled"), "rules",
+        F.when(sampled, told).alias("judge"),
+    )
+
+
+def sample_counts(results: DataFrame) -> dict:
+    """What the judge has said of the sampled rows, counted."""
+    j, s = F.col("judge"), F.col("sampled")
+    says = lambda c: F.count_if(s & F.coalesce(c, F.lit(False)))
+    return results.agg(
+        F.count_if(s).alias("count"), says(j["question_quality"] == "high").alias("question_quality_high"), says(j["question_quality"] == "low").alias("question_quality_low"),
+        says(j["label_ok"]).alias("label_ok"), says(~j["label_ok"]).alias("label_not_ok"), says(j["difficulty_ok"]).alias("difficulty_ok"),
+        says(~j["difficulty_ok"]).alias("difficulty_not_ok"), says(j["error"].isNotNull()).alias("judge_errors"),
+    ).first().asDict()
 
 
 def status(failed: Column, sampled: Column, quality: Column, label_ok: Column, difficulty_ok: Column, error: Column) -> Column:
@@ -147,24 +321,41 @@ def seeded_sample(rows: DataFrame, ratio: float, seed: int) -> DataFrame:
     return rows.join(ids, "row_ord", "left_semi")
 
 
+def gold_matches(gold: DataFrame, output: DataFrame) -> DataFrame:
+    """gold (id, text, positive) with hard and same: how the last row of output (id, text, hard, row_ord) with its id came out."""
+    last = output.where("id is not null and id <> ''").groupBy("id").agg(F.max_by(F.struct("text", "hard"), "row_ord").alias("o"))
+    same = F.coalesce(F.col("o.text"), F.lit("")) == F.coalesce(F.col("text"), F.lit(""))
+    return gold.join(last, "id", "left").select("id", "positive", F.coalesce("o.hard", F.lit(False)).alias("hard"), same.alias("same"))
+
+
 def gold_result(gold: DataFrame, output: DataFrame) -> DataFrame:
-    """One row of counts for gold (id, text, positive) against output (id, text, hard, row_ord); the last output row of an id counts.
+    """One row of counts for gold against output, see gold_matches.
 
     A positive must come out hard with the same text; a negative must not come out hard.
     """
-    last = output.where("id is not null").groupBy("id").agg(F.max_by(F.struct("text", "hard"), "row_ord").alias("o"))
-    j = gold.join(last, "id", "left")
-    hard = F.coalesce("o.hard", F.lit(False))
-    same = F.coalesce(F.col("o.text"), F.lit("")) == F.coalesce(F.col("text"), F.lit(""))
-    pos = F.col("positive")
-    out = j.agg(
-        F.count_if(pos).alias("positives"), F.count_if(pos & hard & same).alias("accepted"), F.count_if(pos & ~hard).alias("missed"), F.count_if(pos & hard & ~same).alias("positive_text_mismatches"),
-        F.count_if(~pos).alias("negatives"), F.count_if(~pos & hard).alias("false_accepts"), F.count_if(~pos & hard & ~same).alias("negative_text_mismatches"),
+    pos, hard, same = F.col("positive"), F.col("hard"), F.col("same")
+    out = gold_matches(gold, output).agg(
+        F.count_if(pos).alias("positives"), F.count_if(pos & hard & same).alias("accepted"), F.count_if(pos & ~hard).alias("missed"),
+        F.count_if(pos & hard & ~same).alias("positive_text_mismatches"), F.count_if(~pos).alias("negatives"),
+        F.count_if(~pos & hard).alias("false_accepts"), F.count_if(~pos & hard & ~same).alias("negative_text_mismatches"),
     )
     recall = F.when(F.col("positives") > 0, F.col("accepted") / F.col("positives")).otherwise(1.0)
     return out.withColumn("recall", recall).withColumn("passed", (F.col("recall") == 1.0) & (F.col("false_accepts") == 0))
 
 
+def gold_report(gold: DataFrame, output: DataFrame, shown: int = 100) -> dict:
+    """The counts, and the first ids of each kind of fault."""
+    from siftwell.operators.store import cut
+
+    each = cut(gold_matches(gold, output))
+    faults = {
+        "missed_positive_ids": "positive and not hard", "positive_text_mismatch_ids": "positive and hard and not same",
+        "negative_false_accept_ids": "not positive and hard", "negative_text_mismatch_ids": "not positive and hard and not same",
+    }
+    ids = {k: [r["id"] for r in each.where(f).orderBy("id").limit(shown).collect()] for k, f in faults.items()}
+    return gold_result(gold, output).first().asDict() | ids
+
+
 def release_gate(results: DataFrame, residual_rate: Column, gold_passed: Column) -> DataFrame:
     """One row: results (sampled, hard, difficulty_ok, error) pass with sampled hard rows, few false accepts, no errors, few residual duplicates and a passed gold set."""
     s = F.col("sampled")
@@ -186,11 +377,12 @@ def overview(results: DataFrame, dataset: str, date: str, flagged: int = 100) ->
     each = results.select(F.explode("rules").alias("r")).select("r.*")
     hits = each.groupBy("rule").agg(F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed")).orderBy("rule")
     failed = F.array_join(F.transform(F.filter("rules", lambda r: ~r["ok"]), lambda r: r["rule"]), ", ")
-    shown = results.where("status <> 'pass'").orderBy("row_ord").limit(flagged).select("id", "status", failed.alias("failed_rules"))
+    told = [c for c in ("source_case_id", "question", "judge") if c in results.columns]
+    shown = results.where("status <> 'pass'").orderBy("row_ord").limit(flagged).select("id", "category", "status", failed.alias("failed_rules"), *told)
     counts = {s: 0 for s in ("pass", "fail", "needs_review")} | {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
     return {
         "dataset": dataset, "date": date, "total": sum(counts.values()), "status_counts": counts, "rule_hits": [r.asDict() for r in hits.collect()],
-        "categories": [r.asDict() for r in category_shares(results, "category").orderBy(F.desc("n"), "category").collect()], "flagged": [r.asDict() for r in shown.collect()],
+        "categories": [r.asDict() for r in category_shares(results, "category").orderBy(F.desc("n"), "category").collect()], "flagged": [r.asDict(recursive=True) for r in shown.collect()],
     }
 
 

@@ -28,9 +28,18 @@ def audit(conclusion: dict, disputed: list[dict]) -> str:
 
 
 def quality(overview: dict) -> str:
-    """A quality overview: status, rules, categories and the rows that need a look."""
+    """A quality overview: status, rules, categories, the sample, the release gate and the rows that need a look."""
     counts = ", ".join(f"{k} {v}" for k, v in sorted(overview["status_counts"].items()))
-    parts = [f"# Quality of {overview['dataset']}, {overview['date']}", f"{overview['total']} rows: {counts}", "## Rules", table(overview["rule_hits"], ["rule", "passed", "failed"]), "## Categories", table(overview["categories"], ["category", "n", "share"])]
+    parts = [f"# Quality of {overview['dataset']}, {overview['date']}", f"{overview['total']} rows: {counts}"]
+    if gate := overview.get("quality_gate"):
+        shown = {k: v for k, v in gate.items() if not isinstance(v, dict) and v is not None}
+        parts += [f"## Release gate: {'PASS' if gate['passed'] else 'FAIL'}", "\n".join(f"- {k}: {v}" for k, v in shown.items())]
+    if sample := overview.get("sample"):
+        parts += ["## Sample", "\n".join(f"- {k}: {v}" for k, v in sample.items())]
+    parts += ["## Rules", table(overview["rule_hits"], ["rule", "passed", "failed"])]
+    if overview.get("dataset_rules"):
+        parts.append(table(overview["dataset_rules"], ["rule", "ok", "detail"]))
+    parts += ["## Categories", table(overview["categories"], ["category", "n", "share"])]
     if overview["flagged"]:
         parts += ["## Flagged", table(overview["flagged"], ["id", "status", "failed_rules"])]
     return "\n\n".join(parts) + "\n"
