@@ -7,7 +7,7 @@ from dataclasses import fields
 from pathlib import Path
 
 from siftwell.operators.gates import Gate
-from siftwell.plans.run import Settings
+from siftwell.plans.state import Settings
 
 _PLAIN = {f.name for f in fields(Settings)} - {"labellers", "gate", "stages"}
 _RATIOS = ("min_chain_coverage", "max_bad_lines", "threshold")
