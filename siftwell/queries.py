@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.functions import rules, text
-from siftwell.operators import dedup, families, gates, labels, quality, turns
+from siftwell.operators import dedup, families, gates, grounding as quotes, labels, quality, turns
 from siftwell.operators.components import connected_components
 from siftwell.operators.store import cut
 
@@ -144,10 +144,19 @@ def precheck_profile(spark, sf_dir):
     return _profile(spark, sf_dir)
 
 
-@query(f"SELECT 'critical' AS severity, 'missing_chain' AS code, eligible_turns - turns_with_chain AS n FROM ({_PROFILE_SQL}) WHERE turns_with_chain / eligible_turns < 0.95 UNION ALL SELECT 'warning', 'bad_lines', 1::BIGINT")
+@query(f"""WITH {_PAIRED}, c AS (SELECT count(*) AS lines, count(*) FILTER (length(answer) % 10 = 0) AS bad FROM p), q AS ({_PROFILE_SQL}),
+i AS (SELECT unnest([
+  CASE WHEN bad > 0 AND bad / lines > 0.05 THEN {{'severity': 'critical', 'code': 'bad_line_ratio_exceeded', 'n': bad}} END,
+  CASE WHEN bad > 0 AND bad / lines <= 0.05 THEN {{'severity': 'warning', 'code': 'bad_lines', 'n': bad}} END,
+  CASE WHEN duplicate_records > 0 THEN {{'severity': 'warning', 'code': 'duplicate_records', 'n': duplicate_records}} END,
+  CASE WHEN empty_context_records > 0 THEN {{'severity': 'warning', 'code': 'empty_context_records', 'n': empty_context_records}} END,
+  CASE WHEN eligible_turns = 0 THEN {{'severity': 'critical', 'code': 'no_eligible_turns', 'n': 0}} END,
+  CASE WHEN eligible_turns > 0 AND turns_with_chain / eligible_turns < 0.95 THEN {{'severity': 'critical', 'code': 'missing_chain', 'n': eligible_turns - turns_with_chain}} END]) AS x FROM q, c)
+SELECT x.severity AS severity, x.code AS code, CAST(x.n AS BIGINT) AS n FROM i WHERE x IS NOT NULL""")
 def precheck_issues(spark, sf_dir):
-    p = _profile(spark, sf_dir).withColumns({"lines": F.lit(1000), "bad_lines": F.lit(1)})
-    return turns.precheck_issues(p, min_coverage=0.95)
+    """What is wrong with the conversations; answers of certain lengths stand in for bad lines."""
+    lines = _turns(spark, sf_dir).agg(F.count("*").alias("lines"), F.count_if(F.length("answer") % 10 == 0).alias("bad_lines"))
+    return turns.precheck_issues(_profile(spark, sf_dir).join(F.broadcast(lines), F.lit(True)), min_coverage=0.95, max_bad=0.05)
 
 
 @query(f"WITH {_PAIRED} SELECT session, idx, coalesce({_answer_sql(150)}, '') AS reason FROM p")
@@ -182,6 +191,7 @@ def keep_first_distinct(spark, sf_dir):
 
 @query(f"WITH n AS (SELECT doc_id, {_collapse_sql('text')} AS q FROM documents) SELECT doc_id AS row_ord, CASE WHEN q = '' THEN doc_id ELSE min(doc_id) OVER (PARTITION BY q) END AS representative FROM n")
 def exact_text_duplicates(spark, sf_dir):
+    """SQL has no NFKC; the documents are in this form already."""
     return dedup.exact_text_groups(_documents(spark, sf_dir))
 
 
@@ -194,19 +204,26 @@ def template_groups(spark, sf_dir):
     return dedup.template_classes(dedup.profiled(_documents(spark, sf_dir), slots=False))
 
 
-_PAIRS = f"""k AS (SELECT doc_id, {_TOKENS} AS ts FROM documents), u AS (SELECT doc_id, len(ts) AS n, unnest(ts) AS tok FROM k),
+def _pairs_sql(threshold: float) -> str:
+    """e: the pairs (a, b, similarity) of first rows of classes of equal tokens, and each class's first row with its others."""
+    t = threshold
+    return f"""k AS (SELECT doc_id, ts, min(doc_id) OVER (PARTITION BY list_sort(ts)) AS head FROM (SELECT doc_id, {_TOKENS} AS ts FROM documents) WHERE len(ts) > 0),
+u AS (SELECT doc_id, len(ts) AS n, unnest(ts) AS tok FROM k WHERE doc_id = head),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common, any_value(x.n) AS na, any_value(y.n) AS nb FROM u x JOIN u y ON x.tok = y.tok AND x.doc_id < y.doc_id
-  AND least(x.n, y.n) * 1.8 >= 0.8 * (x.n + y.n) - 1e-9 GROUP BY ALL),
-j AS (SELECT a, b, common / (na + nb - common) AS similarity FROM c WHERE common / (na + nb - common) >= 0.8)"""
+  AND least(x.n, y.n) * {1 + t} >= {t} * (x.n + y.n) - 1e-9 GROUP BY ALL),
+j AS (SELECT a, b, common / (na + nb - common) AS similarity FROM c WHERE common / (na + nb - common) >= {t}
+  UNION ALL SELECT head, doc_id, 1.0 FROM k WHERE doc_id <> head)"""
 
 
-@query(f"WITH {_PAIRS} SELECT a, b, round(similarity, 9) AS similarity FROM j")
+@query(f"WITH {_pairs_sql(0.8)} SELECT a, b, round(similarity, 9) AS similarity FROM j")
 def jaccard_pairs(spark, sf_dir):
+    """Similar documents: pairs of one document of each class of equal words, and the classes' members."""
     p = dedup.profiled(_documents(spark, sf_dir), slots=False)
-    return dedup.similar_pairs(cut(p)).select("a", "b", F.round("similarity", 9).alias("similarity"))
+    return dedup.linked_rows(cut(p)).select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
-@query(f"WITH RECURSIVE {_PAIRS}, e AS (SELECT a, b FROM j UNION SELECT b, a FROM j), r AS (SELECT a AS node, a AS top FROM e UNION SELECT e.b, r.top FROM r JOIN e ON e.a = r.node) SELECT node, min(top) AS component FROM r GROUP BY node")
+@query(f"""WITH RECURSIVE {_pairs_sql(0.8)}, e AS (SELECT a, b FROM j UNION SELECT b, a FROM j),
+r AS (SELECT a AS node, a AS top FROM e UNION SELECT e.b, r.top FROM r JOIN e ON e.a = r.node) SELECT node, min(top) AS component FROM r GROUP BY node""")
 def similarity_components(spark, sf_dir):
     return connected_components(jaccard_pairs(spark, sf_dir), cut)
 
@@ -220,27 +237,23 @@ def lexical_clusters(spark, sf_dir):
 @query(f"""WITH w AS (SELECT doc_id, list_filter(string_split({_collapse_sql('text')}, ' '), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(len(ws) - 7), lambda i: array_to_string(ws[i + 1 : i + 8], ' '))) AS phrase FROM w WHERE len(ws) >= 8),
 g AS (SELECT phrase, list_sort(list(doc_id)) AS members FROM s GROUP BY phrase HAVING count(*) >= 3)
-SELECT array_to_string(members, ',') AS members, count(*) AS n_phrases FROM g GROUP BY 1""")
+SELECT members[1] AS first_row, len(members) AS n_rows, CAST(list_sum(members) AS BIGINT) AS sum_rows, count(*) AS n_phrases,
+  array_to_string(list_transform(list_sort(list({{'l': -length(phrase), 'p': phrase}}))[1:8], lambda x: x.p), '|') AS phrases FROM g GROUP BY members""")
 def phrase_families(spark, sf_dir):
-    out = families.phrase_families(_documents(spark, sf_dir))
-    return out.select(F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"), "n_phrases")
+    """Sets of documents that share long phrases: their first, number and sum of ids, and the longest of their phrases."""
+    found, members = families.phrase_families(_documents(spark, sf_dir))
+    sums = members.groupBy("family").agg(F.sum("row_ord").alias("sum_rows"), F.count("*").alias("n"), F.min("row_ord").alias("first_row"))
+    out = found.join(sums, "family").where("first = first_row and n_rows = n")
+    return out.select("first_row", "n_rows", "sum_rows", "n_phrases", F.array_join("phrases", "|").alias("phrases"))
 
 
 
 
 @query(f"SELECT item_id, count(*) AS documents FROM benchmark b JOIN documents d ON contains({_ground_sql('d.text')}, {_ground_sql('b.text')}) GROUP BY item_id")
 def grounding(spark, sf_dir):
-    """Documents that quote each benchmark passage. The passages are a stated set of queries, sent out in blocks."""
-    items = table(spark, sf_dir, "benchmark").select("item_id", text.grounding_form(F.col("text")).alias("quote"))
-    docs = table(spark, sf_dir, "documents").select(text.grounding_form(F.col("text")).alias("form"))
-    blocks = max(1, -(-items.count() // 500))
-    out = None
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
-        known = F.array(*[F.struct(F.lit(r["item_id"]).alias("item_id"), F.lit(r["quote"]).alias("quote")) for r in part])
-        hits = docs.select(F.explode(F.filter(known, lambda x: F.contains(F.col("form"), x["quote"]))).alias("x")).groupBy("x.item_id").agg(F.count("*").alias("documents"))
-        out = hits if out is None else out.union(hits)
-    return out
+    """Documents that quote each benchmark passage."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("passage"), "text")
+    return quotes.quoted(_documents(spark, sf_dir), items).groupBy(F.col("passage").alias("item_id")).agg(F.count("*").alias("documents"))
 
 
 @query(f"SELECT lang, count(*) AS documents, count(*) FILTER (NOT {_blank_sql('text')} AND length(regexp_replace(text, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g')) / length(text) < 0.3) AS to_translate FROM documents GROUP BY lang")
@@ -265,11 +278,12 @@ def qc_category_skew(spark, sf_dir):
     return quality.category_shares(table(spark, sf_dir, "documents"), "source").withColumn("share", F.round("share", 9))
 
 
-@query("SELECT category_id FROM (VALUES ('01'), ('03'), ('05'), ('07'), ('09')) t(category_id)")
+@query(f"""WITH t AS (SELECT unnest([{', '.join(f"'{i}'" for i, _ in quality.COMPLEX)}]) AS category_id), used AS (SELECT DISTINCT 1 + (doc_id * doc_id) % 9 AS k FROM documents)
+SELECT category_id FROM t WHERE CAST(category_id AS INT) NOT IN (SELECT k FROM used)""")
 def qc_unused_categories(spark, sf_dir):
-    """Complex categories without a row, when documents are dealt to those of even number."""
-    names = F.create_map(*[F.lit(x) for i, p in enumerate(p for _, p in quality.COMPLEX) for x in (i + 1, p)])
-    docs = table(spark, sf_dir, "documents").withColumn("category", names[(2 * (F.pmod("doc_id", F.lit(4)) + 1)).cast("int")])
+    """Complex categories without a row, when documents are dealt to them by the squares of their ids."""
+    paths = F.array(*[F.lit(p) for _, p in quality.COMPLEX])
+    docs = table(spark, sf_dir, "documents").withColumn("category", F.element_at(paths, (F.pmod(F.col("doc_id") * F.col("doc_id"), F.lit(9)) + 1).cast("int")))
     return quality.unused_categories(docs, "category")
 
 
@@ -310,17 +324,21 @@ def record_rule_hits(spark, sf_dir):
     return each.groupBy("rule").agg(F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed"))
 
 
-_GOLD_SQL = """WITH g AS (SELECT l.doc_id, quality = 1 AS pos, d.n_chars > 1000 AS hard FROM labels l LEFT JOIN documents d USING (doc_id))
-SELECT count(*) FILTER (pos) AS positives, count(*) FILTER (pos AND coalesce(hard, false)) AS accepted, count(*) FILTER (pos AND NOT coalesce(hard, false)) AS missed, 0::BIGINT AS positive_text_mismatches,
- count(*) FILTER (NOT pos) AS negatives, count(*) FILTER (NOT pos AND coalesce(hard, false)) AS false_accepts, 0::BIGINT AS negative_text_mismatches,
- round(count(*) FILTER (pos AND coalesce(hard, false)) / count(*) FILTER (pos), 9) AS recall, false AS passed FROM g"""
+_GOLD_SQL = """WITH g AS (SELECT l.doc_id, quality = 1 AS pos, coalesce(d.n_chars > 1000, false) AS hard,
+  coalesce(CASE WHEN d.doc_id % 7 = 0 THEN right(d.text, 12) ELSE left(d.text, 12) END, '') = coalesce(left(d.text, 12), '') AS same FROM labels l LEFT JOIN documents d USING (doc_id))
+SELECT count(*) FILTER (pos) AS positives, count(*) FILTER (pos AND hard AND same) AS accepted, count(*) FILTER (pos AND NOT hard) AS missed,
+ count(*) FILTER (pos AND hard AND NOT same) AS positive_text_mismatches, count(*) FILTER (NOT pos) AS negatives, count(*) FILTER (NOT pos AND hard) AS false_accepts,
+ count(*) FILTER (NOT pos AND hard AND NOT same) AS negative_text_mismatches, round(count(*) FILTER (pos AND hard AND same) / count(*) FILTER (pos), 9) AS recall,
+ count(*) FILTER (pos AND hard AND same) = count(*) FILTER (pos) AND count(*) FILTER (NOT pos AND hard) = 0 AS passed FROM g"""
 
 
 @query(_GOLD_SQL)
 def gold_recall(spark, sf_dir):
-    """Labels stand in for a gold set, long documents for those found hard."""
-    gold = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.lit("").alias("text"), (F.col("quality") == 1).alias("positive"))
-    out = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("").alias("text"), (F.col("n_chars") > 1000).alias("hard"), F.col("doc_id").alias("row_ord"))
+    """Labels stand in for a gold set, long documents for those found hard; of some ids the texts differ."""
+    docs, i = table(spark, sf_dir, "documents"), F.col("doc_id")
+    head = F.left("text", F.lit(12))
+    gold = table(spark, sf_dir, "labels").join(docs.select("doc_id", head.alias("text")), "doc_id", "left").select(i.cast("string").alias("id"), "text", (F.col("quality") == 1).alias("positive"))
+    out = docs.select(i.cast("string").alias("id"), F.when(i % 7 == 0, F.right("text", F.lit(12))).otherwise(head).alias("text"), (F.col("n_chars") > 1000).alias("hard"), i.alias("row_ord"))
     return quality.gold_result(gold, out).withColumn("recall", F.round("recall", 9))
 
 
@@ -406,7 +424,7 @@ def funnel(spark, sf_dir):
 
 
 @query("""WITH x AS (SELECT [CASE doc_id % 5 WHEN 0 THEN 'reject' WHEN 1 THEN 'downgrade' ELSE 'admit' END, CASE doc_id % 7 WHEN 0 THEN 'error' ELSE 'admit' END][1 : doc_id % 3] AS v FROM documents)
-SELECT CASE WHEN len(v) = 0 THEN 'keep' WHEN list_contains(v, 'error') THEN 'failed' WHEN list_contains(v, 'reject') THEN 'reject' WHEN list_contains(v, 'downgrade') THEN 'downgrade' ELSE 'keep' END AS outcome, count(*) AS n FROM x GROUP BY 1""")
+SELECT CASE coalesce(list_filter(v, lambda y: y <> 'admit')[1], 'keep') WHEN 'error' THEN 'failed' ELSE coalesce(list_filter(v, lambda y: y <> 'admit')[1], 'keep') END AS outcome, count(*) AS n FROM x GROUP BY 1""")
 def verify_fold(spark, sf_dir):
     i = F.col("doc_id")
     votes = F.slice(F.array(F.when(i % 5 == 0, "reject").when(i % 5 == 1, "downgrade").otherwise("admit"), F.when(i % 7 == 0, "error").otherwise("admit")), F.lit(1), (i % 3).cast("int"))
@@ -435,19 +453,70 @@ def _star_rows(spark, sf_dir):
     return judged.groupBy("doc_id").agg(F.min(rank).alias("rank")).select(F.col("doc_id").alias("row_ord"), "rank", (F.col("doc_id") % 50 == 0).alias("protected"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_pairs_sql(0.6)}, l AS (SELECT d.doc_id, min({{'q': CASE WHEN quality = 1 THEN -2 WHEN quality = 0 THEN 0 ELSE -1 END, 'p': CAST(coalesce(toxic = 1, false) AS INT)}}) AS r
+  FROM documents d LEFT JOIN labels USING (doc_id) GROUP BY d.doc_id),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY r, doc_id) AS i FROM l), e AS (SELECT a, b FROM j UNION SELECT b, a FROM j),
+n AS (SELECT e.a AS doc_id, list(e.b ORDER BY o.i) AS nb FROM e JOIN o ON o.doc_id = e.b GROUP BY e.a),
+f AS (SELECT o.i, o.doc_id, coalesce(nb, []) AS nb FROM o LEFT JOIN n USING (doc_id)),
+g AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS kept, NULL::BIGINT AS row_ord, NULL::BIGINT AS representative UNION ALL
+  SELECT i, CASE WHEN r IS NULL THEN list_append(kept, doc_id) ELSE kept END, doc_id, coalesce(r, doc_id)
+  FROM (SELECT f.i, g.kept, f.doc_id, CASE WHEN f.doc_id % 50 <> 0 THEN list_filter(f.nb, lambda x: list_contains(g.kept, x))[1] END AS r FROM g JOIN f ON f.i = g.i + 1))
+SELECT row_ord, representative FROM g WHERE i > 0""")
 def quality_star(spark, sf_dir):
     """Clusters around the best rows; labels stand in for quality, token similarity for a pair judge."""
-    pairs = dedup.similar_pairs(cut(dedup.profiled(_documents(spark, sf_dir), slots=False)), 0.6).select("a", "b")
+    pairs = dedup.linked_rows(cut(dedup.profiled(_documents(spark, sf_dir), slots=False)), 0.6).select("a", "b")
     return families.star_clusters(_star_rows(spark, sf_dir), pairs)
 
 
-@query()
+@query(r"""WITH s AS (SELECT doc_id, list_filter(list_distinct(string_split(regexp_replace(lower(concat_ws(' ', lang, source, n_chars // 1000, left(text, 12), source, 'list')),
+   '[^\p{L}\p{N}_ ]+', ' ', 'g'), ' ')), lambda x: x <> '') AS ts, {'l': lang, 's': source, 't': left(text, 12), 'n': n_chars // 1000} AS key FROM documents),
+u AS (SELECT doc_id, unnest(ts) AS tok FROM s), f AS (SELECT tok, count(*) AS df FROM u GROUP BY tok HAVING count(*) > 1),
+a AS (SELECT doc_id AS i, tok FROM (SELECT doc_id, tok, row_number() OVER (PARTITION BY doc_id ORDER BY df, tok) AS p FROM u JOIN f USING (tok)) WHERE p <= 8),
+c AS (SELECT DISTINCT a.i, u.doc_id AS j FROM a JOIN u USING (tok) WHERE a.i <> u.doc_id),
+j AS (SELECT i, j, len(list_intersect(x.ts, y.ts)) AS common, len(x.ts) + len(y.ts) AS both FROM c JOIN s x ON x.doc_id = i JOIN s y ON y.doc_id = j),
+n AS (SELECT i, j, sim FROM (SELECT i, j, common / (both - common) AS sim, row_number() OVER (PARTITION BY i ORDER BY common / (both - common) DESC, j) AS p FROM j) WHERE p <= 20 AND sim >= 0.6),
+b AS (SELECT min(doc_id) OVER (PARTITION BY key) AS i, doc_id AS j, 1.0::DOUBLE AS sim FROM s)
+SELECT least(i, j) AS a, greatest(i, j) AS b, max(sim) AS similarity FROM (SELECT * FROM n UNION ALL SELECT * FROM b WHERE i <> j) GROUP BY ALL""")
 def signature_candidates(spark, sf_dir):
     """Candidate pairs by signature; a document's language, source and size stand in for one."""
-    s = F.struct(F.col("lang").alias("goal"), F.col("source").alias("subject_type"), F.array(F.left("text", F.lit(12))).alias("operations"), F.array(F.col("source")).alias("data_dimensions"), F.floor(F.col("n_chars") / 1000).cast("string").alias("temporal_shape"), F.array(F.lit("list")).alias("output_shape"))
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_ord"), s.alias("signature"), F.col("doc_id").alias("rank")).withColumn("tokens", families.signature_tokens(F.col("signature")))
-    return families.signature_candidates(cut(rows))
+    start = F.array(F.left("text", F.lit(12)))
+    size = F.floor(F.col("n_chars") / 1000).cast("string")
+    s = F.struct(
+        F.col("lang").alias("goal"), F.col("source").alias("subject_type"), start.alias("operations"), F.array(F.col("source")).alias("data_dimensions"),
+        size.alias("temporal_shape"), F.array(F.lit("list")).alias("output_shape"),
+    )
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_ord"), s.alias("signature"), F.col("doc_id").alias("rank"))
+    return families.signature_candidates(cut(rows.withColumn("tokens", families.signature_tokens(F.col("signature")))))
+
+
+# What stands in the place of a text, by the remainder of its id.
+_QUESTIONS = (
+    "''", "'Pageinfo ' || text", "'您好,请按以下Step1,Step2,Step3步骤,完成提交' || left(text, 5)", "repeat(left(text, 50) || ' x', 50)", "'好的'", "'继续。'", "'A123.45'",
+    "'foo_bar.x-' || (doc_id % 1000)", "'中文字'", "'ab cd ef!'", "text", "'分析一下' || left(text, 20)",
+)
+_ANSWERS = (
+    "''", "'抱歉，我无法回答这个问题。' || text", "left(text, 49)", "left(text, 300) || ':'", "'As an AI language model ' || text", "left(text, 60) || '—  '", "text || '.'",
+)
+
+
+def _cases(expressions: tuple[str, ...]) -> str:
+    return "CASE doc_id % " + str(len(expressions)) + " " + " ".join(f"WHEN {k} THEN {e}" for k, e in enumerate(expressions)) + " END"
+
+
+@query(f"WITH d AS (SELECT doc_id, {_collapse_sql(_cases(_QUESTIONS))} AS q FROM documents) SELECT doc_id, {_reject_sql('q')} AS reason FROM d")
+def reject_reason_cases(spark, sf_dir):
+    """Every outcome of the question rules, on texts made from the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(_cases(_QUESTIONS)).alias("q"))
+    return docs.select("doc_id", text.normalize_question(F.col("q")).alias("q")).select("doc_id", rules.reject_reason(F.col("q")).alias("reason"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_cases(_ANSWERS)} AS answer, left(text, 9) AS question, CASE doc_id % 5 WHEN 0 THEN 'runFailed' WHEN 1 THEN NULL ELSE 'runFinished' END AS event FROM documents)
+SELECT doc_id, CASE WHEN event <> 'runFinished' THEN 'last_event_type=' || event ELSE coalesce({_answer_sql(50)}, '') END AS reason FROM d""")
+def answer_gate_cases(spark, sf_dir):
+    """Every outcome of the answer rules, on texts made from the documents."""
+    event = F.when(F.col("doc_id") % 5 == 0, "runFailed").when(F.col("doc_id") % 5 != 1, "runFinished")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(_cases(_ANSWERS)).alias("answer"), F.left("text", F.lit(9)).alias("question"), event.alias("event"))
+    return docs.select("doc_id", F.coalesce(rules.answer_reason(F.col("question"), F.col("answer"), F.col("event")), F.lit("")).alias("reason"))
 
 
 @query("SELECT event_id, epoch_ms(date_trunc('second', ts)) - 8 * 3600000 AS ms FROM events")
