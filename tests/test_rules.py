@@ -1,9 +1,11 @@
 """Text functions and rules against plain Python."""
 
+import json
 import random
 import re
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftwell.functions import rules, text
@@ -86,12 +88,24 @@ def test_phrases_lengths_and_grounding(spark):
 
 def test_segments_are_repaired_and_topics_merged(spark):
     s = "array<struct<start:int,end:int,topic:string>>"
-    cases = [([(0, 1, "a"), (2, 3, "b")], 4, [(0, 1, "a"), (2, 3, "b")]), ([(0, 1, "a"), (3, 4, "b")], 5, [(0, 1, "a"), (2, 4, "b")]), ([(0, 0, "a"), (5, 6, "b")], 7, None), ([(0, 0, "a"), (1, 1, "b"), (2, 3, "a")], 4, [(0, 3, "a")]), ([], 2, None)]
+    cases = [([(0, 1, "a"), (2, 3, "b")], 4, [(0, 1, "a"), (2, 3, "b")]), ([(0, 1, "a"), (3, 4, "b")], 5, [(0, 1, "a"), (2, 4, "b")]), ([(0, 0, "a"), (5, 6, "b")], 7, None), ([(0, 0, "a"), (1, 1, "b"), (2, 3, "a")], 4, [(0, 3, "a")]), ([], 2, None),
+        ([(0, 1, "a"), (1, 2, " b ")], 4, [(0, 1, "a"), (2, 3, "b")]), ([(0, 1, "a"), (0, 1, "b"), (2, 3, "c")], 4, [(0, 1, "a"), (2, 2, "b"), (3, 3, "c")]),
+        ([(0, 4, "a")], 4, None), ([(-1, 3, "a")], 4, None), ([(0, 3, " ")], 4, None), ([(0, None, "a")], 1, None),
+    ]
     df = spark.createDataFrame([(a, n) for a, n, _ in cases], f"s {s}, n int")
     got = [r[0] for r in df.select(turns.repaired_segments(F.col("s"), F.col("n"))).collect()]
     assert [None if g is None else [tuple(x) for x in g] for g in got] == [w for _, _, w in cases]
 
 
+def test_prior_turns_of_few_rows_and_of_all(spark):
+    rows = [(s, i, f"q{i}", f"a{i}") for s in (1, 2) for i in range(6)]
+    t = turns.with_segments(spark.createDataFrame(rows, "session long, idx int, question string, answer string"), spark.createDataFrame([(1, 0, 2, "x"), (1, 3, 5, "y")], "session long, start int, end int, topic string"))
+    all_ = {(r["session"], r["idx"]): [p["question"] for p in r["prior"]] for r in turns.with_prior(t).collect()}
+    assert all_[1, 0] == [] and all_[1, 2] == ["q0", "q1"] and all_[1, 3] == ["q0", "q1", "q2"] and all_[1, 5] == ["q3", "q4"] and all_[2, 4] == ["q0", "q1", "q2", "q3"]
+    few = turns.with_prior(t.where("idx > 3"), turns.asked_and_answered(t))
+    assert {(r["session"], r["idx"]): [p["question"] for p in r["prior"]] for r in few.collect()} == {k: v for k, v in all_.items() if k[1] > 3}
+
+
 def test_keep_first_and_numbering(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, ""), (5, None), (4, "b"), (6, "")], "o long, k string").repartition(3)
     assert sorted(r["o"] for r in turns.keep_first(df, F.col("k"), F.col("o")).collect()) == [1, 2, 4, 5, 6]
@@ -170,6 +184,11 @@ def test_stars_match_the_greedy_order(spark):
         assert got == want
 
 
+def test_equal_texts_have_one_normal_form(spark):
+    got = {r[0]: r[1] for r in dedup.exact_text_groups(frame(spark, ["ＡＢ  c", "AB c", " ", None, "AB　c", "ab c"])).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 0, 5: 5}
+
+
 def test_chain_gates(spark):
     step = "array<struct<plan:string,tools:array<struct<name:string,input:string,output:string>>>>"
     rows = [([("p", [("a", "", ""), ("b", "", "")]), ("q", [("a", "", "")])], 9, "x"), ([], 8, "x, y,,x"), ([], None, None), ([("p", None)], 3, "z")]
@@ -183,6 +202,64 @@ def test_lines_and_rejects(spark, tmp_path):
     good, bad = jsonl.read_records(spark, str(tmp_path))
     assert sorted((r["line_number"], r["json"]) for r in good.collect()) == [(1, '{"a":1}'), (5, '{"a":2,"b":null}')]
     assert sorted((r["line_number"], r["reason"]) for r in bad.collect()) == [(3, "not_an_object"), (4, "invalid_json"), (6, "invalid_json")]
+    assert jsonl.first_lines(spark, str(tmp_path), 3) == ['{"a":1}', "[1]", '{"a":1} x']
+    with pytest.raises(Exception, match="in line [346] of"):
+        jsonl.read_strict(spark, str(tmp_path), "a long").collect()
+    assert jsonl.parsed('{"a":1e999,"b":"\\ud800"}') == ("", '{"a":null,"b":"?"}')
+
+
+def test_lines_are_numbered_over_many_splits(spark, tmp_path):
+    lines = ["" if i % 7 == 3 else "{" if i % 11 == 5 else json.dumps({"i": i + 1}) for i in range(3000)]
+    for name in "ab":
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        strict = [r["line_number"] for r in jsonl.read_records(spark, str(tmp_path))[1].collect()]
+        got = [(r["file"][-7:], r["line_number"], json.loads(r["json"])["i"]) for r in jsonl.read_records(spark, str(tmp_path))[0].collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    good = [i + 1 for i in range(3000) if i % 7 != 3 and i % 11 != 5]
+    assert sorted(got) == [(f"{n}.jsonl", i, i) for n in "ab" for i in good]
+    assert sorted(strict) == sorted(2 * [i + 1 for i in range(3000) if i % 11 == 5 and i % 7 != 3])
+
+
+def test_a_deliverable_is_there_whenever_a_write_dies(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/out"
+    rows = lambda *x: spark.createDataFrame([(i, v) for i, v in enumerate(x)], "row_ord long, v string")
+    read = lambda: [json.loads(r["value"])["v"] for r in spark.read.text(path).collect()]
+    jsonl.write_lines(rows("b", "a"), path, single=True)
+    rename, calls = jsonl._rename, []
+
+    def dies(*x):
+        calls.append(x)
+        if len(calls) == 2:  # the old folder is aside, the new one has not taken its place
+            raise RuntimeError
+        rename(*x)
+
+    monkeypatch.setattr(jsonl, "_rename", dies)
+    with pytest.raises(RuntimeError):
+        jsonl.write_lines(rows("c"), path)
+    monkeypatch.undo()
+    assert not (tmp_path / "out").exists()
+    jsonl.settle(spark, path)
+    assert read() == ["b", "a"]
+    jsonl.write_lines(rows("c"), path)
+    assert read() == ["c"] and [x.name for x in tmp_path.iterdir() if not x.name.startswith(".")] == ["out"]
+
+
+def test_the_stream_gates_as_the_batch_does(spark, tmp_path):
+    from siftwell.streaming.gate import gated, stream_gate
+
+    long = "一个完整的回答" * 10
+    rows = [("ＯＫ", long), ("请分析一下这个行业的走势", long), ("请分析一下这个行业的走势", long), ("好的", long), ("ｆｏｏ＿ｂａｒ", long), ("请分析一下这家公司的风险", "短")]
+    df = spark.createDataFrame([(q, a, "hard") for q, a in rows], "question string, answer string, difficulty_level string")
+    assert [r["reason"] for r in gated(df).collect()] == ["low_value_common", "", "", "low_value_common", "ascii_token_only", "answer_too_short(1<50)"]
+    df.repartition(3).write.json(f"{tmp_path}/in")
+    for _ in range(2):  # the second finds nothing new
+        stream_gate(spark, f"{tmp_path}/in", df.schema.simpleString()[7:-1].replace(":", " "), f"{tmp_path}/log", f"{tmp_path}/state", files_per_batch=1).awaitTermination()
+        assert [sinks.LineLog(spark, f"{tmp_path}/log").read(s).count() for s in sinks.STREAMS] == [1, 1, 0]
+        df.limit(2).write.mode("append").json(f"{tmp_path}/in")
 
 
 def test_a_log_takes_each_line_once_and_output_is_canonical(spark, tmp_path):
