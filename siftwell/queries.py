@@ -473,8 +473,8 @@ def quality_star(spark, sf_dir):
 u AS (SELECT doc_id, unnest(ts) AS tok FROM s), f AS (SELECT tok, count(*) AS df FROM u GROUP BY tok HAVING count(*) > 1),
 a AS (SELECT doc_id AS i, tok FROM (SELECT doc_id, tok, row_number() OVER (PARTITION BY doc_id ORDER BY df, tok) AS p FROM u JOIN f USING (tok)) WHERE p <= 8),
 c AS (SELECT DISTINCT a.i, u.doc_id AS j FROM a JOIN u USING (tok) WHERE a.i <> u.doc_id),
-j AS (SELECT i, j, len(list_intersect(x.ts, y.ts)) AS common, len(x.ts) + len(y.ts) AS both FROM c JOIN s x ON x.doc_id = i JOIN s y ON y.doc_id = j),
-n AS (SELECT i, j, sim FROM (SELECT i, j, common / (both - common) AS sim, row_number() OVER (PARTITION BY i ORDER BY common / (both - common) DESC, j) AS p FROM j) WHERE p <= 20 AND sim >= 0.6),
+j AS (SELECT i, j, len(list_intersect(x.ts, y.ts)) AS common, len(x.ts) + len(y.ts) AS total FROM c JOIN s x ON x.doc_id = i JOIN s y ON y.doc_id = j),
+n AS (SELECT i, j, sim FROM (SELECT i, j, common / (total - common) AS sim, row_number() OVER (PARTITION BY i ORDER BY common / (total - common) DESC, j) AS p FROM j) WHERE p <= 20 AND sim >= 0.6),
 b AS (SELECT min(doc_id) OVER (PARTITION BY key) AS i, doc_id AS j, 1.0::DOUBLE AS sim FROM s)
 SELECT least(i, j) AS a, greatest(i, j) AS b, max(sim) AS similarity FROM (SELECT * FROM n UNION ALL SELECT * FROM b WHERE i <> j) GROUP BY ALL""")
 def signature_candidates(spark, sf_dir):
