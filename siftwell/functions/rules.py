@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.text import CJK, cjk_count, cjk_ratio, grounded, text_or_empty
 
-# Texts without a task of their own, and patterns of noise.
+# Texts without a task of their own, patterns of noise, refusals, and the closed lists of labels (FEATURES, EXCLUSIONS, TEMPLATE_EXCLUSIONS).
 LOW_VALUE = (
     "好的", "好", "要", "需要", "可以", "是", "否", "嗯", "恩", "对", "行", "继续",
     "帮我", "看看", "分析一下", "转人工", "客服", "1", "2", "3", "A", "B", "a", "b",
