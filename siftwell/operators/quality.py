@@ -144,6 +144,11 @@ def typed(records: DataFrame) -> DataFrame:
 _SIGNATURE = "data_dimensions array<string>, goal string, operations array<string>, output_shape array<string>, subject_type string, temporal_shape string"
 
 
+def field_value(record: Column, dotted: str) -> Column:
+    """A field of a JSON object by its dotted path, as text; lists and objects as compact JSON, null where there is none."""
+    return F.get_json_object(record, f"$.{dotted}")
+
+
 def near_duplicate_rate(rows: DataFrame, threshold: float = NEAR_DUPLICATE) -> DataFrame:
     """(row_ord, representative, similarity) of rows (row_ord, text) that repeat another by their words."""
     from siftwell.operators.dedup import lexical_clusters
@@ -152,7 +157,7 @@ def near_duplicate_rate(rows: DataFrame, threshold: float = NEAR_DUPLICATE) -> D
 
 
 def _constant(rows: DataFrame) -> tuple[bool, str, list[str]]:
-    flat = rows.select(*[(F.to_json(F.col(f)) if f == "tools" else F.col(f)).alias(f.replace(".", "_")) for f in CONTENT_FIELDS])
+    flat = rows.select(*[field_value(F.col("json"), f).alias(f.replace(".", "_")) for f in CONTENT_FIELDS])
     bad = [r for r in constant_fields(flat, flat.columns).collect() if not r["ok"]]
     told = [f"{r['field']}: {r['distinct_values']} values, the first in {r['top_share']:.0%}" for r in sorted(bad, key=lambda r: r["field"])]
     return not told, "; ".join(told) or "ok", told
@@ -190,7 +195,8 @@ def _skew(rows: DataFrame) -> tuple[bool, str, list[str]]:
 
 
 def _empty(rows: DataFrame) -> tuple[bool, str, list[str]]:
-    flat = rows.select(*[F.col(f).alias(f.replace(".", "_")) for f in KEY_FIELDS])
+    value = lambda f: field_value(F.col("json"), f)
+    flat = rows.select(*[F.when(value(f) != "[]", value(f)).alias(f.replace(".", "_")) for f in KEY_FIELDS])
     told = [f"{r['field']}: {r['empty_rate']:.0%} empty" for r in empty_rates(flat, flat.columns).collect() if not r["ok"]]
     return not told, "; ".join(told) or "ok", told
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.rules import blank
+from siftwell.functions.text import content_key
 
 
 def paired_turns(messages: DataFrame, session: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -121,6 +122,13 @@ def segment_payload(turns: DataFrame) -> DataFrame:
     return grouped.where(F.size("t") > 1).select("session", F.size("t").alias("n"), F.to_json(F.struct(F.col("t").alias("questions"))).alias("payload"))
 
 
+def session_content_key(session_key: Column, mode: Column, turns: Column) -> Column:
+    """A hash of all that a session says: its key, mode and every turn's texts, times, states and tools, in order."""
+    names = ("trace_id", "question", "answer", "request_time", "status", "outcome", "tool_names", "tool_count")
+    said = F.transform(turns, lambda t: content_key(*[t[n] for n in names], F.to_json(t["chain"])))
+    return content_key(session_key, mode, F.array_join(said, ""))
+
+
 def precheck_profile(sessions: DataFrame) -> DataFrame:
     """One row of counts over sessions (key, turns: array of eligible and has_chain); null turns are an empty context."""
     turns = F.coalesce("turns", F.array().cast(sessions.schema["turns"].dataType))

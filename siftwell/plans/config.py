@@ -10,11 +10,13 @@ from siftwell.operators.gates import Gate
 from siftwell.plans.state import Settings
 
 _PLAIN = {f.name for f in fields(Settings)} - {"labellers", "gate", "stages"}
-_RATIOS = ("min_chain_coverage", "max_bad_lines", "threshold")
+_RATIOS = ("min_chain_coverage", "max_bad_lines", "threshold", "candidate_threshold")
+_LEAST = {"verify_rounds": 0, "max_candidates": 1}
+_PATHS = ("label_path", "log_path", "prompt_folder")
 
 
 def load(path: str) -> Settings:
-    """The settings in a file; names that are not known, and ratios outside 0 to 1, are errors. A relative label_path starts at the file's folder."""
+    """The settings in a file; names that are not known, and numbers out of their ranges, are errors. Relative paths start at the file's folder."""
     raw = Path(path).read_text(encoding="utf-8")
     if path.endswith(".json"):
         said = json.loads(raw)
@@ -34,12 +36,16 @@ def from_dict(said: dict, base: str = ".") -> Settings:
     for name in _RATIOS:
         if not 0 <= said.get(name, 0) <= 1:
             raise ValueError(f"{name} must lie between 0 and 1")
-    if said.get("verify_rounds", 1) < 0:
-        raise ValueError("verify_rounds can't be negative")
+    for name, least in _LEAST.items():
+        if said.get(name, least) < least:
+            raise ValueError(f"{name} must be {least} at least")
+    if said.get("dedup_mode", "semantic") not in ("semantic", "lexical"):
+        raise ValueError("dedup_mode is semantic or lexical")
     values = {k: v for k, v in said.items() if k in _PLAIN}
-    label_path = values.get("label_path")
-    if label_path and "://" not in label_path and not label_path.startswith("/"):
-        values["label_path"] = f"{base}/{label_path}"
+    for name in _PATHS:
+        path = values.get(name)
+        if path and "://" not in path and not path.startswith("/"):
+            values[name] = f"{base}/{path}"
     if "gate" in said:
         values["gate"] = Gate(**said["gate"])
     if "stages" in said:

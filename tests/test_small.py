@@ -17,11 +17,23 @@ def test_settings_from_files(tmp_path):
     path.write_text(json.dumps({"dialect": "chat", "gate": {"calls": 5}, "label_path": "labels", "stages": ["precheck"]}))
     s = config.load(str(path))
     assert s.gate.calls == 5 and s.label_path == f"{tmp_path}/labels" and s.stages == ("precheck",)
-    for bad in ({"nothing": 1}, {"threshold": 1.5}, {"verify_rounds": -1}):
+    for bad in ({"nothing": 1}, {"threshold": 1.5}, {"verify_rounds": -1}, {"max_candidates": 0}, {"candidate_threshold": -0.1}, {"dedup_mode": "x"}):
         with pytest.raises(ValueError):
             config.from_dict(bad)
 
 
+def test_a_session_is_known_by_its_content(spark):
+    from siftwell.operators.turns import session_content_key
+    from siftwell.sources import dialects
+
+    said = lambda *questions, key="a", **more: {"thread_id": key, "context": [{"question": q, "answer": "x", **more} for q in questions]}
+    rows = [said("ab", "c"), said("ab", "c"), said("a", "bc"), said("ab", "c", key="b"), said("ab", "c", status="failed"), said("ab", "c", chain=[{"plan": "p", "tools": []}])]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "row_ord long, json string")
+    sessions, _ = dialects.adapt(df, "session")
+    keys = [r[0] for r in sessions.orderBy("row_ord").select(session_content_key(F.col("session_key"), F.col("mode"), F.col("turns"))).collect()]
+    assert keys[0] == keys[1] and len(set(keys)) == 5
+
+
 def test_taxonomy_lines():
     rows = quality.parse_taxonomy(["01  complex-topic/01-x  A name", "", "01-y  Another"])
     assert rows == [("hard", "01", "complex-topic/01-x", "A name"), ("normal", "01", "01-y", "Another")]
