@@ -116,7 +116,8 @@ def lexical_clusters(rows: DataFrame, threshold: float = THRESHOLD, slots: bool
     dropped = rep != F.col("row_ord")
     common = F.size(F.array_intersect("tokens", "best.tokens"))
     method = F.when(F.col("template") == F.col("rep template"), "template_merge").when(F.size("words") == 0, "exact_text").otherwise("token_jaccard")
-    return out.select("row_ord", rep.alias("representative"), (~dropped).alias("kept"), F.when(dropped, method).alias("method"), F.when(dropped, common / (F.size("tokens") + F.size("best.tokens") - common)).alias("similarity"))
+    similarity = F.when(dropped, common / (F.size("tokens") + F.size("best.tokens") - common))
+    return out.select("row_ord", rep.alias("representative"), (~dropped).alias("kept"), F.when(dropped, method).alias("method"), similarity.alias("similarity"))
 
 
 def exact_text_groups(rows: DataFrame, compatible: bool = True) -> DataFrame:

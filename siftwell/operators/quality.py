@@ -302,7 +302,10 @@ def residual_duplicates(rows: DataFrame, signature: str) -> DataFrame:
     """One row (signed, families, redundant, rate, ok) of equal signatures, over all rows."""
     groups = rows.groupBy(signature).agg(F.count("*").alias("n"))
     known = F.col(signature).isNotNull()
-    out = groups.agg(F.sum(F.when(known, F.col("n")).otherwise(0)).alias("signed"), F.count_if(known & (F.col("n") > 1)).alias("families"), F.sum(F.when(known, F.col("n") - 1).otherwise(0)).alias("redundant"), F.sum("n").alias("total"))
+    total = lambda n: F.sum(F.when(known, n).otherwise(0))
+    out = groups.agg(
+        total(F.col("n")).alias("signed"), F.count_if(known & (F.col("n") > 1)).alias("families"), total(F.col("n") - 1).alias("redundant"), F.sum("n").alias("total")
+    )
     rate = F.coalesce(F.col("redundant") / F.greatest("total", F.lit(1)), F.lit(0.0))
     return out.select(F.coalesce("signed", F.lit(0)).alias("signed"), "families", F.coalesce("redundant", F.lit(0)).alias("redundant"), rate.alias("rate"), (rate <= RESIDUAL).alias("ok"))
 

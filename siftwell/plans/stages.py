@@ -205,7 +205,8 @@ def _drop_log(gone: DataFrame, every: DataFrame, *columns: Column) -> DataFrame:
     """What is told of dropped rows (row_ord, representative, ...): who they were and whom they repeat."""
     who = every.select("row_ord", "source_case_id", "trace_id", F.left("text", F.lit(200)).alias("text"))
     of = every.select(F.col("row_ord").alias("representative"), F.col("trace_id").alias("dedup_of_trace_id"))
-    return gone.join(who, "row_ord").join(of, "representative", "left").select("row_ord", "source_case_id", "trace_id", "text", F.coalesce("dedup_of_trace_id", F.lit("")).alias("dedup_of_trace_id"), *columns)
+    repeated = F.coalesce("dedup_of_trace_id", F.lit("")).alias("dedup_of_trace_id")
+    return gone.join(who, "row_ord").join(of, "representative", "left").select("row_ord", "source_case_id", "trace_id", "text", repeated, *columns)
 
 
 def _none(name: str) -> Column:

@@ -103,12 +103,13 @@ def prior_context(spark, sf_dir):
     return out.select("session", "idx", F.array_join(F.transform("prior", lambda p: p["question"]), "|").alias("prior"), F.size("prior").cast("long").alias("n_prior"))
 
 
-@query(f"WITH {_PAIRED} SELECT session, count(*) AS turns, count(*) FILTER (NOT {_blank_sql('question')} AND NOT {_blank_sql('answer')}) AS eligible FROM p GROUP BY session")
+@query(f"""WITH {_PAIRED} SELECT session, count(*) AS turns, count(*) FILTER (NOT {_blank_sql('question')} AND NOT {_blank_sql('answer')}) AS eligible FROM p GROUP BY session""")
 def eligible_turns(spark, sf_dir):
     return _turns(spark, sf_dir).groupBy("session").agg(F.count("*").alias("turns"), F.count_if(rules.eligible(F.col("question"), F.col("answer"))).alias("eligible"))
 
 
-@query(f"WITH {_PAIRED}, l AS (SELECT *, max(idx) OVER (PARTITION BY session) AS last FROM p) SELECT session, idx, length(question) AS n_chars FROM l WHERE idx = last AND NOT {_blank_sql('question')} AND NOT {_blank_sql('answer')}")
+@query(f"""WITH {_PAIRED}, l AS (SELECT *, max(idx) OVER (PARTITION BY session) AS last FROM p)
+SELECT session, idx, length(question) AS n_chars FROM l WHERE idx = last AND NOT {_blank_sql('question')} AND NOT {_blank_sql('answer')}""")
 def last_turn_candidate(spark, sf_dir):
     out = turns.last_turns(_turns(spark, sf_dir), rules.eligible(F.col("question"), F.col("answer")))
     return out.select("session", "idx", F.length("question").cast("long").alias("n_chars"))
@@ -165,31 +166,38 @@ def answer_gate(spark, sf_dir):
     return _turns(spark, sf_dir).select("session", "idx", F.coalesce(reason, F.lit("")).alias("reason"))
 
 
-@query(f"WITH {_PAIRED}, r AS (SELECT {_answer_sql(150)} AS reason FROM p) SELECT split_part(reason, '(', 1) AS reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, reason LIMIT 8")
+@query(f"""WITH {_PAIRED}, r AS (SELECT {_answer_sql(150)} AS reason FROM p)
+SELECT split_part(reason, '(', 1) AS reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY 1 ORDER BY n DESC, reason LIMIT 8""")
 def answer_gate_histogram(spark, sf_dir):
     """The eight most frequent reasons."""
     reason = rules.answer_reason(F.col("question"), F.col("answer"), limits=LONG_ANSWERS)
-    return _turns(spark, sf_dir).select(F.substring_index(reason, "(", 1).alias("reason")).where("reason is not null").groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(8)
+    found = _turns(spark, sf_dir).select(F.substring_index(reason, "(", 1).alias("reason")).where("reason is not null")
+    return found.groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(8)
 
 
 @query(f"""WITH {_PAIRED}, n AS (SELECT *, {_collapse_sql('question')} AS q FROM p),
 f AS (SELECT NOT {_blank_sql('question')} AND NOT {_blank_sql('answer')} AS ok, {_reject_sql('q')} AS reason, length(answer) // 100 AS calls, length(question) // 40 AS tools FROM n),
 g AS (SELECT * FROM (VALUES (0), (1), (2), (3), (4), (5), (7), (10), (15)) a(min_calls), (VALUES (1), (2), (3), (5)) b(min_tools), (VALUES (true), (false)) c(reject_rules))
-SELECT min_calls, min_tools, reject_rules, count(*) FILTER (ok AND calls >= min_calls AND tools >= min_tools AND (reason = '' OR NOT reject_rules)) AS candidates, count(*) AS total_turns FROM g, f GROUP BY ALL""")
+SELECT min_calls, min_tools, reject_rules, count(*) FILTER (ok AND calls >= min_calls AND tools >= min_tools AND (reason = '' OR NOT reject_rules)) AS candidates,
+  count(*) AS total_turns FROM g, f GROUP BY ALL""")
 def threshold_grid(spark, sf_dir):
     """Candidates under each combination of thresholds; lengths stand in for calls and tools."""
     q, a = F.col("question"), F.col("answer")
-    f = _turns(spark, sf_dir).select(rules.eligible(q, a).alias("eligible"), rules.reject_reason(text.normalize_question(q)).alias("reason"), F.floor(F.length(a) / 100).cast("int").alias("calls"), F.lit(1).alias("steps"), F.floor(F.length(q) / 40).cast("int").alias("tools"))
+    f = _turns(spark, sf_dir).select(
+        rules.eligible(q, a).alias("eligible"), rules.reject_reason(text.normalize_question(q)).alias("reason"), F.floor(F.length(a) / 100).cast("int").alias("calls"),
+        F.lit(1).alias("steps"), F.floor(F.length(q) / 40).cast("int").alias("tools"),
+    )
     return gates.threshold_grid(f)
 
 
-@query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn, text FROM documents) WHERE rn = 1 OR text = ''")
+@query("""SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn, text FROM documents) WHERE rn = 1 OR text = ''""")
 def keep_first_distinct(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return turns.keep_first(docs.withColumn("key", F.when(F.coalesce("text", F.lit("")) != "", F.sha2("text", 256))), F.col("key"), F.col("doc_id")).select("doc_id", "source")
 
 
-@query(f"WITH n AS (SELECT doc_id, {_collapse_sql('text')} AS q FROM documents) SELECT doc_id AS row_ord, CASE WHEN q = '' THEN doc_id ELSE min(doc_id) OVER (PARTITION BY q) END AS representative FROM n")
+@query(f"""WITH n AS (SELECT doc_id, {_collapse_sql('text')} AS q FROM documents)
+SELECT doc_id AS row_ord, CASE WHEN q = '' THEN doc_id ELSE min(doc_id) OVER (PARTITION BY q) END AS representative FROM n""")
 def exact_text_duplicates(spark, sf_dir):
     """SQL has no NFKC; the documents are in this form already."""
     return dedup.exact_text_groups(_documents(spark, sf_dir))
@@ -198,7 +206,9 @@ def exact_text_duplicates(spark, sf_dir):
 _TOKENS = "list_filter(list_distinct(string_split(regexp_replace(lower(" + _collapse_sql("text") + r"), '[^\p{L}\p{N}_ ]+', ' ', 'g'), ' ')), lambda x: x <> '')"
 
 
-@query(f"WITH k AS (SELECT doc_id, list_sort({_TOKENS}) AS ts FROM documents), g AS (SELECT doc_id, min(doc_id) OVER w AS template, count(*) OVER w AS n FROM k WHERE len(ts) >= 4 WINDOW w AS (PARTITION BY ts)) SELECT doc_id AS row_ord, template FROM g WHERE n > 1")
+@query(f"""WITH k AS (SELECT doc_id, list_sort({_TOKENS}) AS ts FROM documents),
+g AS (SELECT doc_id, min(doc_id) OVER w AS template, count(*) OVER w AS n FROM k WHERE len(ts) >= 4 WINDOW w AS (PARTITION BY ts))
+SELECT doc_id AS row_ord, template FROM g WHERE n > 1""")
 def template_groups(spark, sf_dir):
     """Documents with the same set of words; without slots, which SQL's expressions cannot look around for."""
     return dedup.template_classes(dedup.profiled(_documents(spark, sf_dir), slots=False))
@@ -249,19 +259,21 @@ def phrase_families(spark, sf_dir):
 
 
 
-@query(f"SELECT item_id, count(*) AS documents FROM benchmark b JOIN documents d ON contains({_ground_sql('d.text')}, {_ground_sql('b.text')}) GROUP BY item_id")
+@query(f"""SELECT item_id, count(*) AS documents FROM benchmark b JOIN documents d ON contains({_ground_sql('d.text')}, {_ground_sql('b.text')}) GROUP BY item_id""")
 def grounding(spark, sf_dir):
     """Documents that quote each benchmark passage."""
     items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("passage"), "text")
     return quotes.quoted(_documents(spark, sf_dir), items).groupBy(F.col("passage").alias("item_id")).agg(F.count("*").alias("documents"))
 
 
-@query(f"SELECT lang, count(*) AS documents, count(*) FILTER (NOT {_blank_sql('text')} AND length(regexp_replace(text, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g')) / length(text) < 0.3) AS to_translate FROM documents GROUP BY lang")
+@query(f"""SELECT lang, count(*) AS documents, count(*) FILTER (NOT {_blank_sql('text')} AND length(regexp_replace(text, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g')) / length(text) < 0.3) AS to_translate
+FROM documents GROUP BY lang""")
 def translation_needed(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("documents"), F.count_if(rules.needs_translation(F.col("text"))).alias("to_translate"))
 
 
-@query("""WITH e AS (UNPIVOT (SELECT lang, source, CAST(n_chars > 0 AS VARCHAR) AS filled FROM documents) ON lang, source, filled INTO NAME field VALUE value), c AS (SELECT field, value, count(*) AS n FROM e GROUP BY ALL)
+@query("""WITH e AS (UNPIVOT (SELECT lang, source, CAST(n_chars > 0 AS VARCHAR) AS filled FROM documents) ON lang, source, filled INTO NAME field VALUE value),
+  c AS (SELECT field, value, count(*) AS n FROM e GROUP BY ALL)
 SELECT field, count(*) AS distinct_values, round(max(n) / sum(n), 9) AS top_share, count(*) > 1 AND max(n) / sum(n) < 0.9 AS ok FROM c GROUP BY field""")
 def qc_constant_field(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("filled", (F.col("n_chars") > 0).cast("string"))
@@ -294,7 +306,9 @@ def qc_empty_rate(spark, sf_dir):
     return quality.empty_rates(docs, ["lang", "short"]).withColumn("empty_rate", F.round("empty_rate", 9))
 
 
-@query("WITH g AS (SELECT text, count(*) AS n FROM documents GROUP BY text) SELECT CAST(sum(n) AS BIGINT) AS signed, count(*) FILTER (n > 1) AS families, CAST(sum(n - 1) AS BIGINT) AS redundant, round(sum(n - 1) / sum(n), 9) AS rate, sum(n - 1) / sum(n) <= 0.02 AS ok FROM g")
+@query("""WITH g AS (SELECT text, count(*) AS n FROM documents GROUP BY text)
+SELECT CAST(sum(n) AS BIGINT) AS signed, count(*) FILTER (n > 1) AS families, CAST(sum(n - 1) AS BIGINT) AS redundant, round(sum(n - 1) / sum(n), 9) AS rate, sum(n - 1) / sum(n) <= 0.02 AS ok
+FROM g""")
 def qc_residual_duplicates(spark, sf_dir):
     """Equal signatures among rows; texts' hashes stand in for signatures."""
     docs = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("signature"))
@@ -316,7 +330,8 @@ def qc_status_fold(spark, sf_dir):
 
 @query(f"""WITH {_PAIRED}, c AS (SELECT *, length({_strip_sql('question')}) AS nq, length({_strip_sql('answer')}) AS na FROM p), r AS (
 SELECT 'question' AS rule, nq BETWEEN 5 AND 2000 AND NOT contains(question, '�') AS ok FROM c UNION ALL SELECT 'answer', na >= 50 FROM c
-UNION ALL SELECT 'refusal', NOT {_blank_sql('answer')} AND coalesce({_answer_sql(0)}, '') <> 'refusal' FROM c UNION ALL SELECT 'truncation', coalesce({_answer_sql(0)}, '') <> 'truncated_dangling_punctuation' FROM c)
+UNION ALL SELECT 'refusal', NOT {_blank_sql('answer')} AND coalesce({_answer_sql(0)}, '') <> 'refusal' FROM c
+UNION ALL SELECT 'truncation', coalesce({_answer_sql(0)}, '') <> 'truncated_dangling_punctuation' FROM c)
 SELECT rule, count(*) FILTER (ok) AS passed, count(*) FILTER (NOT ok) AS failed FROM r GROUP BY rule""")
 def record_rule_hits(spark, sf_dir):
     packed = quality.packed_rules(quality.record_rules({"question": F.col("question"), "answer": F.col("answer")}))
@@ -346,7 +361,8 @@ def gold_recall(spark, sf_dir):
 a AS (SELECT count(*) FILTER (sampled) AS sampled, count(*) FILTER (sampled AND hard) AS sampled_hard, count(*) FILTER (sampled AND hard AND wrong) AS false_accepts, 0::BIGINT AS judge_errors FROM r)
 SELECT *, round(false_accepts / greatest(sampled_hard, 1), 9) AS false_accept_rate, sampled_hard > 0 AND false_accepts / greatest(sampled_hard, 1) <= 0.02 AS passed FROM a""")
 def release_gate(spark, sf_dir):
-    r = _judged(spark, sf_dir).select(F.col("quality").isNotNull().alias("sampled"), (F.col("n_chars") > 1000).alias("hard"), (F.col("toxic") == 0).alias("difficulty_ok"), F.lit(None).cast("string").alias("error"))
+    sampled, hard = F.col("quality").isNotNull().alias("sampled"), (F.col("n_chars") > 1000).alias("hard")
+    r = _judged(spark, sf_dir).select(sampled, hard, (F.col("toxic") == 0).alias("difficulty_ok"), F.lit(None).cast("string").alias("error"))
     return quality.release_gate(r, F.lit(0.0), F.lit(True)).withColumn("false_accept_rate", F.round("false_accept_rate", 9))
 
 
@@ -357,7 +373,9 @@ def seeded_sample(spark, sf_dir):
     return quality.seeded_sample(rows, 0.05, 42)
 
 
-@query("SELECT 'cleaned' AS stream, count(DISTINCT event_type || props) AS lines FROM events UNION ALL SELECT 'complex', count(DISTINCT event_type || props) FROM events WHERE event_type = 'click' UNION ALL SELECT 'normal', count(DISTINCT event_type || props) FROM events WHERE event_type <> 'click'")
+@query("""SELECT 'cleaned' AS stream, count(DISTINCT event_type || props) AS lines FROM events
+UNION ALL SELECT 'complex', count(DISTINCT event_type || props) FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'normal', count(DISTINCT event_type || props) FROM events WHERE event_type <> 'click'""")
 def fingerprint_append(spark, sf_dir):
     """A log that is sent all events twice, and holds each distinct line once."""
     from siftwell.operators.store import scratch
@@ -381,7 +399,8 @@ def category_histogram(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
 
 
-@query("WITH f AS (SELECT unnest(list_filter(['artifact_action', 'event_policy_impact', 'unheard_of'], lambda x: length(x) % 4 = event_id % 4)) AS feature FROM events) SELECT feature, count(*) AS n FROM f WHERE feature <> 'unheard_of' GROUP BY feature")
+@query("""WITH f AS (SELECT unnest(list_filter(['artifact_action', 'event_policy_impact', 'unheard_of'], lambda x: length(x) % 4 = event_id % 4)) AS feature FROM events)
+SELECT feature, count(*) AS n FROM f WHERE feature <> 'unheard_of' GROUP BY feature""")
 def feature_histogram(spark, sf_dir):
     """Features of labels, after those outside the closed list are gone."""
     made = F.filter(F.array(F.lit("artifact_action"), F.lit("event_policy_impact"), F.lit("unheard_of")), lambda x: F.length(x) % 4 == F.col("event_id") % 4)
@@ -389,8 +408,10 @@ def feature_histogram(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.explode(clean).alias("feature")).groupBy("feature").agg(F.count("*").alias("n"))
 
 
-_VOTES_SQL = """v AS (SELECT doc_id AS id, vote, (doc_id + vote * 3) % 5 < 3 AS complex, 'r' || (doc_id % 2) AS reason, (doc_id + vote) % 11 = 0 AS error FROM documents, (VALUES (0), (1), (2)) x(vote)),
-m AS (SELECT id, count(*) FILTER (error OR complex) >= 2 AS is_complex, coalesce(any_value(reason) FILTER (NOT error AND NOT complex), '') AS reason, count(*) FILTER (error) AS errors FROM v GROUP BY id)"""
+_VOTES_SQL = """v AS (SELECT doc_id AS id, vote, (doc_id + vote * 3) % 5 < 3 AS complex, 'r' || (doc_id % 2) AS reason, (doc_id + vote) % 11 = 0 AS error FROM documents,
+  (VALUES (0), (1), (2)) x(vote)),
+m AS (SELECT id, count(*) FILTER (error OR complex) >= 2 AS is_complex, coalesce(any_value(reason) FILTER (NOT error AND NOT complex), '') AS reason,
+  count(*) FILTER (error) AS errors FROM v GROUP BY id)"""
 
 
 def _votes(spark, sf_dir):
@@ -403,13 +424,15 @@ def majority_vote(spark, sf_dir):
     return labels.majority(_votes(spark, sf_dir))
 
 
-@query(f"WITH {_VOTES_SQL} SELECT count(*) AS total, round(avg(CAST(NOT is_complex AS INT)), 9) AS not_complex_ratio, round(avg(CAST(errors > 0 AS INT)), 9) AS error_ratio, avg(CAST(NOT is_complex AS INT)) <= 0.5 AND avg(CAST(errors > 0 AS INT)) <= 0.5 AS passed FROM m")
+@query(f"""WITH {_VOTES_SQL} SELECT count(*) AS total, round(avg(CAST(NOT is_complex AS INT)), 9) AS not_complex_ratio, round(avg(CAST(errors > 0 AS INT)), 9) AS error_ratio, avg(CAST(NOT is_complex AS INT)) <= 0.5 AND avg(CAST(errors > 0 AS INT)) <= 0.5 AS passed
+FROM m""")
 def audit_conclusion(spark, sf_dir):
     out = labels.audit_conclusion(labels.majority(_votes(spark, sf_dir)), 0.5, 0.5)
     return out.withColumns({c: F.round(c, 9) for c in ("not_complex_ratio", "error_ratio")})
 
 
-@query("""WITH x AS (SELECT doc_id % 2 = 0 AS task, doc_id % 3 > 0 AS own, CASE doc_id % 5 WHEN 0 THEN 'severe' WHEN 1 THEN 'light' ELSE 'none' END AS sev, doc_id % 7 = 0 AS emb, CASE doc_id % 4 WHEN 0 THEN 'complex' WHEN 1 THEN 'reject' ELSE 'normal' END AS route, contains(text, 'th') AS quoted, doc_id % 13 = 0 AS failed FROM documents)
+@query("""WITH x AS (SELECT doc_id % 2 = 0 AS task, doc_id % 3 > 0 AS own, CASE doc_id % 5 WHEN 0 THEN 'severe' WHEN 1 THEN 'light' ELSE 'none' END AS sev,
+  doc_id % 7 = 0 AS emb, CASE doc_id % 4 WHEN 0 THEN 'complex' WHEN 1 THEN 'reject' ELSE 'normal' END AS route, contains(text, 'th') AS quoted, doc_id % 13 = 0 AS failed FROM documents)
 SELECT CASE WHEN failed THEN 'llm_failed' WHEN NOT (task AND own AND sev <> 'severe' AND NOT emb) THEN 'value:' || CASE WHEN emb OR sev = 'severe' THEN 'template' WHEN NOT task THEN 'no_task' WHEN NOT own THEN 'not_self_contained' ELSE 'other' END
  WHEN route = 'reject' THEN 'policy_rejected' WHEN route = 'complex' AND quoted THEN 'hard' WHEN route = 'complex' THEN 'ungrounded' ELSE 'normal' END AS outcome, count(*) AS n FROM x GROUP BY 1""")
 def funnel(spark, sf_dir):
@@ -424,14 +447,16 @@ def funnel(spark, sf_dir):
 
 
 @query("""WITH x AS (SELECT [CASE doc_id % 5 WHEN 0 THEN 'reject' WHEN 1 THEN 'downgrade' ELSE 'admit' END, CASE doc_id % 7 WHEN 0 THEN 'error' ELSE 'admit' END][1 : doc_id % 3] AS v FROM documents)
-SELECT CASE coalesce(list_filter(v, lambda y: y <> 'admit')[1], 'keep') WHEN 'error' THEN 'failed' ELSE coalesce(list_filter(v, lambda y: y <> 'admit')[1], 'keep') END AS outcome, count(*) AS n FROM x GROUP BY 1""")
+SELECT CASE coalesce(list_filter(v, lambda y: y <> 'admit')[1], 'keep') WHEN 'error' THEN 'failed' ELSE coalesce(list_filter(v, lambda y: y <> 'admit')[1],
+  'keep') END AS outcome, count(*) AS n FROM x GROUP BY 1""")
 def verify_fold(spark, sf_dir):
     i = F.col("doc_id")
     votes = F.slice(F.array(F.when(i % 5 == 0, "reject").when(i % 5 == 1, "downgrade").otherwise("admit"), F.when(i % 7 == 0, "error").otherwise("admit")), F.lit(1), (i % 3).cast("int"))
     return table(spark, sf_dir, "documents").groupBy(labels.verify_outcome(votes).alias("outcome")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, sha256(length('classify') || ':classify' || length('stub') || ':stub' || length('v1') || ':v1' || length(text) || ':' || text) AS key, CASE WHEN length(text) % 2 = 0 THEN 'even' ELSE 'odd' END AS label FROM documents")
+@query("""SELECT doc_id, sha256(length('classify') || ':classify' || length('stub') || ':stub' || length('v1') || ':v1' || length(text) || ':' || text) AS key, CASE WHEN length(text) % 2 = 0 THEN 'even' ELSE 'odd' END AS label
+FROM documents""")
 def label_join(spark, sf_dir):
     """Labels by content: the first half of the documents is labelled before, the rest is asked for."""
     from siftwell.operators.store import scratch
@@ -449,7 +474,8 @@ def label_join(spark, sf_dir):
 
 def _star_rows(spark, sf_dir):
     judged = _judged(spark, sf_dir)
-    rank = families.quality_rank(F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").otherwise("medium"), F.lit("none"), F.coalesce(F.col("toxic") == 1, F.lit(False)), F.lit(True), F.col("doc_id"))
+    grade = F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").otherwise("medium")
+    rank = families.quality_rank(grade, F.lit("none"), F.coalesce(F.col("toxic") == 1, F.lit(False)), F.lit(1), F.col("doc_id"))
     return judged.groupBy("doc_id").agg(F.min(rank).alias("rank")).select(F.col("doc_id").alias("row_ord"), "rank", (F.col("doc_id") % 50 == 0).alias("protected"))
 
 
@@ -526,7 +552,9 @@ def request_millis(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.epoch_millis(local).alias("ms"))
 
 
-@query("SELECT reason, n FROM (SELECT '' AS reason, count(*) AS n FROM events WHERE event_id % 10 > 1 UNION ALL SELECT 'invalid_json', count(*) FROM events WHERE event_id % 10 = 0 UNION ALL SELECT 'not_an_object', count(*) FROM events WHERE event_id % 10 = 1)")
+@query("""SELECT reason, n FROM (SELECT '' AS reason, count(*) AS n FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT 'invalid_json', count(*) FROM events WHERE event_id % 10 = 0
+UNION ALL SELECT 'not_an_object', count(*) FROM events WHERE event_id % 10 = 1)""")
 def tolerant_scan(spark, sf_dir):
     """JSON lines, one in ten broken and one in ten an array, written and read again with their rejects."""
     from siftwell.operators.store import scratch
@@ -551,7 +579,9 @@ def adapted_sessions(spark, sf_dir):
     return dialects.turns_of(sessions).select("session_key", F.col("idx").cast("long").alias("idx"), "question", "answer", "status", "run_id")
 
 
-@query(f"WITH {_PAIRED}, g AS (SELECT DISTINCT session, idx, question, answer FROM (SELECT *, {_collapse_sql('question')} AS q FROM p) WHERE {_reject_sql('q')} = '' AND ({_answer_sql(50)}) IS NULL) SELECT session, count(*) AS n FROM g GROUP BY session")
+@query(f"""WITH {_PAIRED}, g AS (SELECT DISTINCT session, idx, question, answer FROM (SELECT *, {_collapse_sql('question')} AS q FROM p)
+  WHERE {_reject_sql('q')} = '' AND ({_answer_sql(50)}) IS NULL)
+SELECT session, count(*) AS n FROM g GROUP BY session""")
 def stream_gate(spark, sf_dir):
     """The gates over files as a stream, which ends when all are read."""
     from siftwell.operators.store import scratch

@@ -157,12 +157,16 @@ def _adapt_chat(records: DataFrame) -> DataFrame:
     text, raw = _text(j, "$.judge_data.text_answer"), _text(j, "$.judge_data.raw_answer")
     number = lambda name: F.get_json_object(j, f"$.judge_data.meta.{name}")
     last = _turn(
-        question=_first(own, _text(j, "$.question")), answer=_first(text, raw), answer_full=_first(raw, text), trace_id=_first(_text(j, "$.judge_data.trace_id"), _text(j, "$.trace_id")), chain=_chain(j, "$.judge_data.chain"),
-        request_time=_text(j, "$.judge_data.meta.request_time"), first_token_ms=number("first_token_time_cost").try_cast("double"), total_duration_ms=number("finish_answer_time_cost").try_cast("double"),
-        input_tokens=number("input_tokens").try_cast("long"), output_tokens=number("output_tokens").try_cast("long"), user_id=_text(j, "$.judge_data.meta.user_id"), status=F.lit("completed"), outcome=F.lit("success"),
+        question=_first(own, _text(j, "$.question")), answer=_first(text, raw), answer_full=_first(raw, text),
+        trace_id=_first(_text(j, "$.judge_data.trace_id"), _text(j, "$.trace_id")), chain=_chain(j, "$.judge_data.chain"),
+        request_time=_text(j, "$.judge_data.meta.request_time"), first_token_ms=number("first_token_time_cost").try_cast("double"),
+        total_duration_ms=number("finish_answer_time_cost").try_cast("double"), input_tokens=number("input_tokens").try_cast("long"),
+        output_tokens=number("output_tokens").try_cast("long"), user_id=_text(j, "$.judge_data.meta.user_id"), status=F.lit("completed"), outcome=F.lit("success"),
     )
-    reject = F.when(~F.coalesce(F.ltrim(data).startswith("{"), F.lit(False)), "adapt_failed: no judge_data").when(prior.isNull(), "adapt_failed: context is no array").when(odd, "adapt_failed: a turn is no object")
-    return records.select("row_ord", _first(_text(j, "$.judge_data.case_id"), _text(j, "$.trace_id")).alias("session_key"), F.lit("last_only").alias("mode"), reject.alias("reject"), F.concat(before, F.array(last)).alias("turns"))
+    reject = F.when(~F.coalesce(F.ltrim(data).startswith("{"), F.lit(False)), "adapt_failed: no judge_data")
+    reject = reject.when(prior.isNull(), "adapt_failed: context is no array").when(odd, "adapt_failed: a turn is no object")
+    key = _first(_text(j, "$.judge_data.case_id"), _text(j, "$.trace_id"))
+    return records.select("row_ord", key.alias("session_key"), F.lit("last_only").alias("mode"), reject.alias("reject"), F.concat(before, F.array(last)).alias("turns"))
 
 
 def _is(record: Column, name: str, kind: str) -> Column:
